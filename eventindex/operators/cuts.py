@@ -48,8 +48,9 @@ def cut_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
 
 def comparable() -> Column:
     """Number a cut compares: NaN where the dataset holds no single value, NULL where it holds
-    text that is no number."""
-    return F.when(F.col("value").isNull(), F.lit(math.nan)).otherwise(F.col("value_num"))
+    text that is no number. The size tells them apart without reading the stored text."""
+    no_value = F.col("value_num").isNull() & ~F.equal_null(F.col("size"), F.lit(1))
+    return F.when(no_value, F.lit(math.nan)).otherwise(F.col("value_num"))
 
 
 def passes(value: Column, cut: Cut, strict: bool = False, missing: str = "pass") -> Column:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventindex.functions.names import leaf_name
+from eventindex.functions.names import parent_group
 from eventindex.functions.times import day_dir
-from eventindex.operators.cuts import (all_pass, any_cut_name, apply_cuts, cut_aggregates,
-                                       parse_cuts)
+from eventindex.operators.cuts import all_pass, any_cut_name, cut_aggregates, parse_cuts
 from eventindex.operators.dictionaries import matched_names
 from eventindex.operators.frames import prepare_frames
-from eventindex.operators.groups import group_metadata, group_values
+from eventindex.operators.groups import anchor_events, group_metadata, group_values
 from eventindex.operators.ordinals import parse_ordinals, select_ordinals
 from eventindex.operators.payload import attach_payload, missing_payload
 from eventindex.operators.select import EVENT, name_condition, pivot_columns, time_range
@@ -51,7 +50,7 @@ class EventIndex:
                    root, **options)
 
     def find(self, keywords: str = "", comment: str = "") -> DataFrame:
-        """Dataset names found by keyword or comment, with their position in name order."""
+        """Dataset names found by keyword or comment."""
         return matched_names(self.names, self.comments, keywords, comment)
 
     def resolve(self, keywords: str = "", comment: str = "", pick: str | None = None) -> list[str]:
@@ -77,8 +76,8 @@ class EventIndex:
         (event_ts, event_key) order."""
         return time_range(self.events, start, end)
 
-    def _leaf_in(self, start: str, end: str, picked: str | None) -> DataFrame:
-        rows = time_range(self.leaf, start, end)
+    def _pick(self, rows: DataFrame, start: str, end: str, picked: str | None) -> DataFrame:
+        """Rows of the events at the picked positions of the listing."""
         if picked is None:
             return rows
         chosen = select_ordinals(self.listing(start, end).select("event_ts", "event_key"), picked)
@@ -97,7 +96,7 @@ class EventIndex:
                    events: str | None = None, numeric: bool = False) -> DataFrame:
         """load_column for known datasets; `names` maps output columns to dataset names."""
         wanted = parse_cuts(cuts)
-        rows = self._leaf_in(start, end, events)
+        rows = self._pick(time_range(self.leaf, start, end), start, end, events)
         if not names:
             return rows.select(*EVENT, event_path(self.root).alias("path")).where(F.lit(False))
         relevant = name_condition(list(names.values()), self.match)
@@ -111,30 +110,42 @@ class EventIndex:
         return (table.where(keep)
                 .select(*EVENT, *columns, event_path(self.root).alias("path")))
 
-    def _passing(self, start: str, end: str, cuts: str, events: str | None) -> DataFrame:
-        # judged on the whole range: the ordinal selection restricts one side only
-        return apply_cuts(self._leaf_in(start, end, events), time_range(self.leaf, start, end),
-                          parse_cuts(cuts), self.match, self.strict, self.missing)
+    def _group(self, name: str | None, start: str, end: str, cuts: str, events: str | None
+               ) -> dict:
+        """Arguments of the group loaders: leaf rows, dataset, and the events to load it from."""
+        leaf = time_range(self.leaf, start, end)
+        if name is None:  # an unmatched search loads nothing, but with the usual columns
+            return {"leaf": leaf.where(F.lit(False)), "dataset_name": "/", "match": self.match}
+        anchors = anchor_events(leaf, name, self.match, parse_cuts(cuts), self.strict,
+                                self.missing)
+        return {"leaf": leaf, "dataset_name": name, "match": self.match,
+                "anchors": self._pick(anchors, start, end, events)}
 
     def load_group_metadata(self, keywords: str = "", comment: str = "", start: str = "",
                             end: str = "", cuts: str = "", datasets: str | None = None,
-                            events: str | None = None, as_rows: bool = False) -> DataFrame:
-        """The group of one dataset, per event as a map of dataset name to value, or as rows."""
+                            events: str | None = None) -> DataFrame:
+        """The group of one dataset, per event as a map of dataset name to value."""
         name = self._resolve_one(keywords, comment, datasets)
-        # an unmatched search loads nothing, but with the usual columns
-        rows = self._passing(start, end, cuts, events) if name else self.leaf.where(F.lit(False))
-        load = group_values if as_rows else group_metadata
-        return (load(rows, name or "/", self.match)
-                .withColumn("matched", F.lit(name)).withColumn("path", event_path(self.root)))
+        return (group_metadata(**self._group(name, start, end, cuts, events))
+                .withColumn("dataset_name", F.lit(name)).withColumn("path", event_path(self.root)))
+
+    def _arrays(self, name: str | None, start: str, end: str) -> DataFrame:
+        """Payload in the days of the range; of the dataset's group only, where that is known."""
+        days = self.payload.where(F.col("event_date").between(
+            F.lit(start[:10]).cast("date"), F.lit(end[:10]).cast("date")))
+        if name is None or self.match != "equals":
+            return days
+        return days.where(F.col("dataset_name").startswith(parent_group(name).rstrip("/") + "/"))
 
     def search(self, keywords: str = "", comment: str = "", start: str = "", end: str = "",
                cuts: str = "", datasets: str | None = None, events: str | None = None
                ) -> DataFrame:
         """The group of one dataset with its arrays: a row per event and dataset, holding the
         value or the array."""
-        rows = self.load_group_metadata(keywords, comment, start, end, cuts, datasets, events,
-                                        as_rows=True)
-        return attach_payload(rows, time_range_days(self.payload, start, end))
+        name = self._resolve_one(keywords, comment, datasets)
+        rows = group_values(**self._group(name, start, end, cuts, events))
+        return (attach_payload(rows, self._arrays(name, start, end))
+                .withColumn("path", event_path(self.root)))
 
     def rejects(self, found: DataFrame) -> DataFrame:
         """Rows of a search whose array is not stored."""
@@ -146,12 +157,10 @@ class EventIndex:
         """Median-filtered frames of one image dataset, for events whose group metadata gives
         width and height."""
         name = self._resolve_one(keywords, comment, datasets)
-        rows = self._passing(start, end, cuts, events) if name else self.leaf.where(F.lit(False))
-        images = group_metadata(rows, name or "/", self.match)
-        arrays = (time_range_days(self.payload, start, end)
-                  .where(F.col("dataset_name") == F.lit(name)))
+        images = group_metadata(**self._group(name, start, end, cuts, events))
+        arrays = self._arrays(name, start, end).where(F.col("dataset_name") == F.lit(name))
         joined = images.join(arrays, ["event_date", "event_key"])
-        return prepare_frames(joined).withColumn("leaf", leaf_name(F.col("dataset_name")))
+        return prepare_frames(joined)
 
     def streak_shortlist(self, names: dict[str, str], start: str, end: str, cuts: str = "",
                          **wanted) -> DataFrame:
@@ -159,9 +168,3 @@ class EventIndex:
         `names` must have an `info` column holding the free text."""
         table = self.load_named(names, start, end, cuts)
         return shortlist(keep_operating(with_facts(table)), **wanted)
-
-
-def time_range_days(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Restrict a table that stores only days, by the days of the range."""
-    return df.where(F.col("event_date").between(F.lit(start[:10]).cast("date"),
-                                                F.lit(end[:10]).cast("date")))

@@ -15,7 +15,7 @@ from eventindex.functions import arrays as A, names as N, numeric, text as X, ti
 from eventindex.operators import (cuts as C, dictionaries as D, flatten as FL, frames as FR,
                                   groups as G, ordinals as O, payload as P, select as S,
                                   shortlist as SH, spectra as SP)
-from eventindex.session import configure, new_path
+from eventindex.session import configure, new_path, spread
 from eventindex.sources import (arrays as SA, containers as SC, dictionaries as SD, files as SF,
                                 index as SI, manifest as SM)
 from registry import fixtures as fx
@@ -100,7 +100,7 @@ def _(spark, sf):
 FROM ev""")
 def _(spark, sf):
     """Prefixed names are accepted, names one digit short are rejected on their own."""
-    kind, name = F.col("event_type"), F.col("name")
+    kind, name = F.col("event_type"), F.col("event_key")
     rows = fx.event_rows(spark, sf).select("event_id", F.concat(
         F.when(kind == "click", "optimized_").otherwise(""),
         F.when(kind == "error", F.substring(name, 2, 1 << 10)).otherwise(name),
@@ -144,8 +144,8 @@ _ROW = "l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_extendedp
 def _(spark, sf):
     """Every line as a container of structs, an array of groups, a map group, and an array."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
-    li = table(spark, sf, "lineitem").withColumn("l_linenumber",
-                                                 F.col("l_linenumber").cast("bigint"))
+    li = spread(table(spark, sf, "lineitem"), "l_orderkey").withColumn(
+        "l_linenumber", F.col("l_linenumber").cast("bigint"))
     nested = li.select(
         *keys,
         F.struct(F.create_map(F.lit("flag"), F.col("l_returnflag")).alias("attrs"),
@@ -172,28 +172,32 @@ def _(spark, sf):
                        "size", "seq")
 
 
-LEAF_OUT = ["event_key", "event_s", "dataset_name", "group_name", "value", "value_num", "seq", "day"]
-LEAF_SQL = """SELECT event_key, event_s, dataset_name, group_name, value, value_num, seq,
+LEAF_OUT = ["event_key", "event_s", "dataset_name", "group_name", "value", "value_num", "size",
+            "dims", "seq", "day"]
+LEAF_SQL = """SELECT event_key, event_s, dataset_name, group_name, value,
+  TRY_CAST(value AS DOUBLE) AS value_num, CASE WHEN value IS NULL THEN 64 ELSE 1 END::BIGINT AS size,
+  CASE WHEN value IS NULL THEN '8 8' ELSE '1' END AS dims, seq::BIGINT AS seq,
   event_date::VARCHAR AS day FROM leaf"""
 
 
 def leaf_out(leaf: DataFrame) -> DataFrame:
-    return leaf.withColumn("event_s", seconds()).withColumn("day", day()).select(*LEAF_OUT)
+    dims = F.array_join(F.col("shape").cast("array<string>"), " ")
+    return leaf.withColumns({"event_s": seconds(), "day": day(), "dims": dims}).select(*LEAF_OUT)
 
 
-@entry("index_csv_roundtrip", f"WITH {LINES} {LEAF_SQL}")
+@entry("index_csv_roundtrip", f"WITH {SHOTS} {LEAF_SQL}")
 def _(spark, sf):
     path = new_path(spark, "csv")
-    SI.write_leaf(fx.leaf_lines(spark, sf), path, "csv")
+    SI.write_leaf(fx.leaf_shots(spark, sf), path, "csv")
     return leaf_out(SI.read_leaf(spark, path, "csv"))
 
 
-@entry("index_partitioned", f"WITH {LINES} {LEAF_SQL} WHERE {LINE_RANGE}")
+@entry("index_partitioned", f"WITH {SHOTS} {LEAF_SQL} WHERE {SHOT_RANGE}")
 def _(spark, sf):
     """Read back with a time range: whole day folders are skipped."""
     path = new_path(spark, "leaf")
-    SI.write_leaf(fx.leaf_lines(spark, sf), path, attrs=False)
-    return leaf_out(S.time_range(SI.read_leaf(spark, path), LINE_FROM, LINE_TO))
+    SI.write_leaf(fx.leaf_shots(spark, sf), path, attrs=False)
+    return leaf_out(S.time_range(SI.read_leaf(spark, path), SHOT_FROM, SHOT_TO))
 
 
 @entry("manifest", f"WITH {EV} SELECT path FROM ev")
@@ -893,8 +897,8 @@ def load_column(spark, sf):
 def _(spark, sf):
     found = fx.lines_index(spark, sf).load_group_metadata(
         "line3 tax", "", LINE_FROM, LINE_TO, LINE_CUTS)
-    return found.select("event_key", seconds(),
-                        F.explode("metadata").alias("dataset_name", "value"))
+    return found.drop("dataset_name").select(
+        "event_key", seconds(), F.explode("metadata").alias("dataset_name", "value"))
 
 
 @entry("search", f"""WITH {SHOTS}, {SHOT_FAILING}, px AS (

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventindex.functions.names import event_fields
-from eventindex.functions.times import day_dir, local_day
-from eventindex.operators.dictionaries import distinct_names
+from eventindex.functions.times import day_dir, local_day, ns_to_ts
 from eventindex.plans.api import EventIndex
-from eventindex.session import new_path
+from eventindex.session import new_path, spread
 
 ROOT = "/data"
 
@@ -21,11 +22,11 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` with the file name and path each event would have."""
     ns = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
     key = F.concat_ws("_", ns, "user_id", "event_id")
-    rows = table(spark, sf_dir, "events").withColumn("name", key)
-    rows = rows.withColumns(event_fields(F.concat(F.lit("/"), F.col("name"))))
-    path = F.concat(F.lit(ROOT + "/"), day_dir(F.col("event_date")), F.lit("/"),
-                    F.col("name"), F.lit(".h5"))
-    return rows.withColumn("path", path)
+    ts = ns_to_ts(ns)
+    path = F.concat(F.lit(ROOT + "/"), day_dir(local_day(ts)), F.lit("/"), key, F.lit(".h5"))
+    return spread(table(spark, sf_dir, "events"), "event_id").withColumns({
+        "event_key": key, "event_ns": ns, "event_ts": ts, "n1": F.col("user_id"),
+        "n2": F.col("event_id"), "event_date": local_day(ts), "path": path})
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,28 +34,43 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             "path", "event_date")
 
 
-def _leaf(rows: DataFrame, entries: Column, *keep: str) -> DataFrame:
-    """Rows in the leaf layout. `entries` is an array of (group_name, field, value, shape, size,
-    dtype, seq)."""
-    name = F.concat("group_name", F.lit("/"), "field")
-    text = F.lit(None).cast("string")
-    return (rows.select("event_key", "event_ts", "event_date", F.inline(entries))
-            .select("event_key", "event_ts", name.alias("dataset_name"), "group_name",
-                    F.lit(None).cast("map<string,string>").alias("attrs"),
-                    text.alias("comment"), text.alias("acq_stamp"), text.alias("exception"),
-                    "value", F.col("value").try_cast("double").alias("value_num"),
-                    "shape", F.col("size").cast("bigint").alias("size"), "dtype",
-                    F.col("seq").cast("bigint").alias("seq"), "event_date"))
-
-
-def _entry(group, field, value, seq, shape=(1,), dtype="float64") -> Column:
-    size = 1
-    for n in shape:
-        size *= n
-    return F.struct(group.alias("group_name"), F.lit(field).alias("field"),
-                    value.cast("string").alias("value"),
-                    F.array(*[F.lit(n) for n in shape]).alias("shape"),
-                    F.lit(size).alias("size"), F.lit(dtype).alias("dtype"), seq.alias("seq"))
+class Field(NamedTuple):
+    """One dataset per row: where it sits, and its value as text and as a number."""
+    group: Column
+    name: str
+    value: Column
+    number: Column | None = None
+    shape: tuple[int, ...] = (1,)
+    dtype: str = "float64"
+
+
+def _leaf(rows: DataFrame, fields: list[Field], order: Column | None = None) -> DataFrame:
+    """Rows in the leaf layout, one per row and field. Only the field number is generated; all
+    columns are expressions of it, so those a query does not read are never computed."""
+    def pick(of) -> Column:
+        out = F.when(F.col("_i") == 0, of(fields[0]))
+        for i, f in enumerate(fields[1:], 1):
+            out = out.when(F.col("_i") == i, of(f))
+        return out
+
+    numbers = F.explode(F.array(*[F.lit(i) for i in range(len(fields))])).alias("_i")
+    group = pick(lambda f: f.group)
+    none = F.lit(None).cast("string")
+    shape = pick(lambda f: F.array(*[F.lit(n) for n in f.shape]))
+    size = pick(lambda f: F.lit(math.prod(f.shape)).cast("bigint"))
+    if all(f.shape == (1,) for f in fields):
+        shape, size = F.array(F.lit(1)), F.lit(1).cast("bigint")
+    seq = F.col("_i").cast("bigint")
+    return rows.select("*", numbers).select(
+        "event_key", "event_ts",
+        F.concat(group, F.lit("/"), pick(lambda f: F.lit(f.name))).alias("dataset_name"),
+        group.alias("group_name"), F.lit(None).cast("map<string,string>").alias("attrs"),
+        none.alias("comment"), none.alias("acq_stamp"), none.alias("exception"),
+        pick(lambda f: f.value.cast("string")).alias("value"),
+        pick(lambda f: F.lit(None).cast("double") if f.number is None else f.number)
+        .alias("value_num"),
+        shape.alias("shape"), size.alias("size"), pick(lambda f: F.lit(f.dtype)).alias("dtype"),
+        (seq if order is None else order).alias("seq"), "event_date")
 
 
 MEASURES = ["quantity", "extendedprice", "discount", "tax"]
@@ -66,16 +82,15 @@ def leaf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("timestamp")
         .alias("event_ts"))
-    rows = (table(spark, sf_dir, "lineitem").join(orders, "l_orderkey")
-            .withColumn("event_key", F.col("l_orderkey").cast("string"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("event_key",
+                                                        F.col("l_orderkey").cast("string"))
+    rows = (spread(lines, "event_key").join(orders, "l_orderkey")
             .withColumn("event_date", local_day(F.col("event_ts"))))
     group = F.concat(F.lit("/line"), F.col("l_linenumber"))
-    low = (F.col("l_partkey") * (1 << 24) + F.round(F.col("l_extendedprice") * 100)
-           .cast("bigint"))
-    entries = [_entry(group, m, F.col(f"l_{m}"),
-                      (F.col("l_linenumber").cast("bigint") * 4 + i) * (1 << 58) + low)
-               for i, m in enumerate(MEASURES)]
-    return _leaf(rows, F.array(*entries))
+    seq = ((F.col("l_linenumber").cast("bigint") * 4 + F.col("_i")) * (1 << 58)
+           + F.col("l_partkey") * (1 << 24)
+           + F.round(F.col("l_extendedprice") * 100).cast("bigint"))
+    return _leaf(rows, [Field(group, m, F.col(f"l_{m}"), F.col(f"l_{m}")) for m in MEASURES], seq)
 
 
 def info_text() -> Column:
@@ -94,25 +109,21 @@ def leaf_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_rows(spark, sf_dir).join(images, "event_id", "left")
     source, camera = F.lit("/beam/source"), F.lit("/streak/camera")
     image = F.concat(F.lit("/cam"), F.col("label"), F.lit("/image"))
-    kind = F.col("event_type")
-    fixed = [
-        _entry(source, "intensity", F.col("value"), F.lit(0)),
-        _entry(source, "user", F.col("user_id"), F.lit(1), dtype="int64"),
-        _entry(camera, "exposure",
-               F.when(kind.isin("click", "view"), "100 ms").otherwise("50 ms"), F.lit(2),
-               dtype="object"),
-        _entry(camera, "timeRange",
-               F.when(F.col("value") < 50, "200 ps").otherwise("1 ns"), F.lit(3), dtype="object"),
-        _entry(camera, "info", info_text(), F.lit(4), dtype="object"),
+    kind, user = F.col("event_type"), F.col("user_id")
+    fields = [
+        Field(source, "intensity", F.col("value"), F.col("value")),
+        Field(source, "user", user, user.cast("double"), dtype="int64"),
+        Field(camera, "exposure",
+              F.when(kind.isin("click", "view"), "100 ms").otherwise("50 ms"), dtype="object"),
+        Field(camera, "timeRange",
+              F.when(F.col("value") < 50, "200 ps").otherwise("1 ns"), dtype="object"),
+        Field(camera, "info", info_text(), dtype="object"),
+        Field(image, "data", F.lit(None), shape=(8, 8)),
+        Field(image, "width", F.lit("8"), F.lit(8.0), dtype="int64"),
+        Field(image, "height", F.lit("8"), F.lit(8.0), dtype="int64"),
     ]
-    with_image = [
-        _entry(image, "data", F.lit(None), F.lit(5), shape=(8, 8)),
-        _entry(image, "width", F.lit("8"), F.lit(6), dtype="int64"),
-        _entry(image, "height", F.lit("8"), F.lit(7), dtype="int64"),
-    ]
-    entries = F.when(F.col("label").isNull(), F.array(*fixed)).otherwise(
-        F.array(*fixed, *with_image))
-    return _leaf(rows, entries)
+    # the image group exists only where there is an image
+    return _leaf(rows, fields).where("group_name IS NOT NULL")
 
 
 def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,31 +144,36 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines_index(spark: SparkSession, sf_dir: str) -> EventIndex:
     leaf = leaf_lines(spark, sf_dir)
-    listing = leaf_events(leaf)
-    return EventIndex(listing, leaf, distinct_names(leaf), _no_comments(spark), root=ROOT)
+    # the dictionary of names, from the distinct groups instead of all leaf rows
+    groups = table(spark, sf_dir, "lineitem").select("l_linenumber").distinct()
+    fields = F.explode(F.array(*[F.lit(m) for m in MEASURES])).alias("field")
+    names = groups.select("l_linenumber", fields).select(
+        F.concat(F.lit("/line"), "l_linenumber", F.lit("/"), "field").alias("dataset_name"))
+    no_comments = spark.createDataFrame([], "comment string, dataset_name string")
+    return EventIndex(leaf_events(leaf), leaf, names, no_comments, root=ROOT)
 
 
 def shots_index(spark: SparkSession, sf_dir: str) -> EventIndex:
-    leaf = leaf_shots(spark, sf_dir)
+    labels = table(spark, sf_dir, "embeddings").select("label").distinct()
+    fields = F.explode(F.array(*[F.lit(f) for f in ("data", "width", "height")])).alias("field")
+    group = F.concat(F.lit("/cam"), F.col("label"), F.lit("/image"))
+    names = labels.select(group.alias("group"), fields).select(
+        "group", F.concat("group", F.lit("/"), "field").alias("dataset_name"))
     # a comment per camera, so comment search finds what keyword search cannot
-    about = leaf.where("dataset_name LIKE '/cam%/image/data'").select(
-        F.concat(F.lit("Frames of "), F.upper("group_name")).alias("comment"), "dataset_name")
-    return EventIndex(events(spark, sf_dir), leaf, distinct_names(leaf), about.distinct(),
-                      payload(spark, sf_dir), root=ROOT)
+    about = names.where("dataset_name LIKE '%/data'").select(
+        F.concat(F.lit("Frames of "), F.upper("group")).alias("comment"), "dataset_name")
+    return EventIndex(events(spark, sf_dir), leaf_shots(spark, sf_dir),
+                      names.select("dataset_name"), about, payload(spark, sf_dir), root=ROOT)
 
 
 def leaf_events(leaf: DataFrame) -> DataFrame:
     return leaf.select("event_key", "event_ts", "event_date").distinct()
 
 
-def _no_comments(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "comment string, dataset_name string")
-
-
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as 8 x 8 frames with metadata; label 0 lacks a height and is no image. The
     time axis has nine samples, the last one broken."""
-    return (table(spark, sf_dir, "embeddings")
+    return (spread(table(spark, sf_dir, "embeddings"), "vec_id")
             .withColumn("data", F.col("embedding").cast("array<double>"))
             .withColumn("side", F.sqrt(F.size("embedding")).cast("int"))
             .withColumn("metadata", F.map_from_arrays(
@@ -186,7 +202,7 @@ def container_tree(spark: SparkSession, sf_dir: str) -> str:
         F.struct(F.concat(F.lit("shot of "), "event_type").alias("comment")).alias("@"),
         beam.alias("beam"), F.col("event_type").alias("kind")))
     rows = event_rows(spark, sf_dir).select(
-        F.concat(F.lit(root), F.substring("path", len(ROOT) + 1, 1 << 20)).alias("path"),
+        F.regexp_replace("path", f"^{ROOT}", root).alias("path"),
         content.alias("content"), "event_date")
     central = rows.groupBy("event_date").agg(F.max("content").alias("content")).select(
         F.concat(F.lit(root + "/Central/"), F.col("event_date"), F.lit(".h5")).alias("path"),
