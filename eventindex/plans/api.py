@@ -14,7 +14,9 @@ from eventindex.operators.ordinals import parse_ordinals, select_ordinals
 from eventindex.operators.payload import attach_payload, missing_payload
 from eventindex.operators.select import EVENT, name_condition, pivot_columns, time_range
 from eventindex.operators.shortlist import keep_operating, shortlist, with_facts
+from eventindex.operators.spectra import BINS, peak_frequency
 from eventindex.session import configure
+from eventindex.sources.containers import payload_rows, read_decoded
 from eventindex.sources.dictionaries import read_dictionaries
 from eventindex.sources.index import read_leaf
 
@@ -46,8 +48,8 @@ class EventIndex:
         configure(spark)
         stored = read_dictionaries(spark, f"{path}/dictionaries")
         return cls(spark.read.parquet(f"{path}/events"), read_leaf(spark, f"{path}/leaf"),
-                   stored.names, stored.comments, spark.read.parquet(f"{path}/payload"),
-                   root, **options)
+                   stored.names, stored.comments,
+                   payload_rows(read_decoded(spark, f"{path}/decoded")), root, **options)
 
     def find(self, keywords: str = "", comment: str = "") -> DataFrame:
         """Dataset names found by keyword or comment."""
@@ -162,6 +164,21 @@ class EventIndex:
         joined = images.join(arrays, ["event_date", "event_key"])
         return prepare_frames(joined)
 
+    def peak_frequencies(self, image: str, axis: str, width: int, height: int, start: str,
+                         end: str, cuts: str = "", events: str | None = None, bins: int = BINS
+                         ) -> DataFrame:
+        """Strongest frequency of one image dataset per event, over the time axis stored in
+        another dataset; both arrays come from the payload."""
+        anchors = self._group(image, start, end, cuts, events)["anchors"].select("event_key")
+        frames, axes = (
+            self._arrays(name, start, end).where(F.col("dataset_name") == F.lit(name))
+            .select("event_date", "event_key", F.col("data").alias(column))
+            for name, column in ((image, "data"), (axis, "axis")))
+        joined = (frames.join(anchors, "event_key", "left_semi")
+                  .join(axes, ["event_date", "event_key"])
+                  .withColumns({"width": F.lit(width), "height": F.lit(height)}))
+        return peak_frequency(joined, bins=bins)
+
     def streak_shortlist(self, names: dict[str, str], start: str, end: str, cuts: str = "",
                          **wanted) -> DataFrame:
         """Events recorded with open shutter in operate mode, and with the given settings.

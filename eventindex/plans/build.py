@@ -8,8 +8,8 @@ from eventindex.operators.dictionaries import (comment_dictionary, constant_valu
                                                distinct_names, merge_comments, merge_names,
                                                number_constants)
 from eventindex.session import configure
-from eventindex.sources.containers import (Decoder, decode_files, leaf_rows, payload_rows,
-                                           undecodable)
+from eventindex.sources.containers import (Decoder, decode_files, leaf_rows, read_decoded,
+                                           undecodable, write_decoded)
 from eventindex.sources.dictionaries import Dictionaries, read_dictionaries, write_dictionaries
 from eventindex.sources.files import binary_files, events_of, rejected_names
 from eventindex.sources.index import read_leaf, write_leaf
@@ -18,8 +18,8 @@ from eventindex.sources.index import read_leaf, write_leaf
 def build_index(spark: SparkSession, root: str, out: str, decoder: Decoder,
                 extension: str = "h5", arrays: bool = True, attrs: bool = True,
                 merge_with: str | None = None) -> None:
-    """Index every event file below root. Files are decoded once: the decoded rows land in the
-    output folder and all further tables are made from there.
+    """Index every event file below root. Files are decoded once, into `decoded`, of which the
+    array payload is one partition; all further tables are made from its other columns.
 
     `merge_with` is an older index whose names and comments are carried over; constants are
     recomputed from the new leaves, as new data can end a value's constancy.
@@ -27,14 +27,11 @@ def build_index(spark: SparkSession, root: str, out: str, decoder: Decoder,
     configure(spark)
     files = binary_files(spark, root, extension)
     listing = files.select("path")
-    decode_files(files, decoder, arrays).write.mode("overwrite").parquet(f"{out}/decoded")
-    decoded = spark.read.parquet(f"{out}/decoded")
+    write_decoded(decode_files(files, decoder, arrays), f"{out}/decoded")
+    decoded = read_decoded(spark, f"{out}/decoded")
 
     events_of(listing).write.mode("overwrite").partitionBy("event_date").parquet(f"{out}/events")
     write_leaf(leaf_rows(decoded), f"{out}/leaf", attrs=attrs)
-    if arrays:
-        (payload_rows(decoded).write.mode("overwrite").partitionBy("event_date")
-         .parquet(f"{out}/payload"))
     rejected_names(listing).write.mode("overwrite").parquet(f"{out}/rejected_names")
     undecodable(decoded).write.mode("overwrite").parquet(f"{out}/undecodable")
 

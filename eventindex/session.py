@@ -8,13 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. AQE is both the size check for broadcasts (a join side is broadcast
-# only once its measured size is under the threshold) and the fallback for hot keys (skewed
-# partitions of sort-merge joins are split).
+# only once its measured size is under the threshold) and the way out for hot keys (skewed
+# partitions of sort-merge joins are split, at the price of a further shuffle where the split
+# rows are grouped by the same key).
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from typing import Any, NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventindex.functions.names import event_fields
 from eventindex.functions.values import attr_triple, shape_size, to_number, value_by_dtype
@@ -35,6 +35,9 @@ Decoder = Callable[[bytes, bool], Iterator[Entry]]
 _DECODED = ("path string, error string, dataset_name string, group_name string,"
             "group_attrs map<string,string>, attrs map<string,string>, text string,"
             "shape array<int>, dtype string, data array<double>, seq bigint")
+# as stored: with the fields of the file name, and the partition columns last
+DECODED = (_DECODED + ", event_key string, event_ns bigint, event_ts timestamp, n1 bigint,"
+           "n2 bigint, has_data boolean, event_date date")
 _COLUMNS = ["path", "error", *Entry._fields, "seq"]
 _ROWS_PER_FRAME = 5_000
 
@@ -94,8 +97,8 @@ def decode_hdf5(content: bytes, arrays: bool) -> Iterator[Entry]:
 
 
 def decode_files(files: DataFrame, decoder: Decoder, arrays: bool = False) -> DataFrame:
-    """One row per dataset of every file. A file that cannot be decoded yields one row with
-    `error` set and no datasets."""
+    """One row per dataset of every file, with the fields of the file name. A file that cannot
+    be decoded yields one row with `error` set and no datasets."""
     def run(batches):
         for batch in batches:
             rows: list[tuple] = []
@@ -112,26 +115,34 @@ def decode_files(files: DataFrame, decoder: Decoder, arrays: bool = False) -> Da
             if rows:
                 yield pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
 
-    return files.select("path", "content").mapInPandas(run, _DECODED)
+    decoded = files.select("path", "content").mapInPandas(run, _DECODED)
+    return (decoded.withColumns(event_fields(F.col("path")))
+            .withColumn("has_data", F.col("data").isNotNull()))
+
+
+def write_decoded(decoded: DataFrame, path: str) -> None:
+    """Store decoded rows, arrays apart from the rest and by day. The arrays are the bulk of an
+    index and are written here once; no later step copies them."""
+    (decoded.write.mode("overwrite").partitionBy("has_data", "event_date")
+     .option("partitionOverwriteMode", "static").parquet(path))
+
+
+def read_decoded(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DECODED).parquet(path)
 
 
 def leaf_rows(decoded: DataFrame) -> DataFrame:
     """Decoded datasets of well-named files in the stored leaf layout."""
     size = shape_size(F.col("shape"))
     value = value_by_dtype(size, F.col("dtype"), F.col("text"))
-    return (decoded.where("error IS NULL")
-            .withColumns(event_fields(F.col("path")))
-            .where("event_key IS NOT NULL")
+    return (decoded.where("error IS NULL AND event_key IS NOT NULL")
             .withColumns({"size": size, "value": value, "value_num": to_number(value),
                           **attr_triple(F.col("group_attrs"), F.col("attrs"))})
             .select(*LEAF.names))
 
 
 def payload_rows(decoded: DataFrame) -> DataFrame:
-    return (decoded.where("data IS NOT NULL")
-            .withColumns(event_fields(F.col("path")))
-            .where("event_key IS NOT NULL")
-            .select(*PAYLOAD.names))
+    return decoded.where("has_data AND event_key IS NOT NULL").select(*PAYLOAD.names)
 
 
 def undecodable(decoded: DataFrame) -> DataFrame:

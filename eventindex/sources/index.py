@@ -13,7 +13,11 @@ from eventindex.schema import LEAF
 CSV_FULL = ["DatasetName", "GroupName", "Dataset Attributes", "DatasetValue", "Shape", "Datatype"]
 CSV_OPTIMIZED = ["DatasetName", "GroupName", "DatasetValue", "Shape", "Datatype"]
 
-SORT = ("event_date", "dataset_name", "event_key")
+# Values may hold quotes, line breaks and blanks; NULL and the empty text are different things.
+CSV_OPTIONS = {"nullValue": "\\N", "escape": '"', "multiLine": "true",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+SORT = ("event_date", "dataset_name", "event_key", "seq")
 
 
 def _csv_type(field: T.StructField) -> T.StructField:
@@ -25,13 +29,14 @@ CSV_LEAF = T.StructType([_csv_type(f) for f in LEAF.fields])
 
 
 def write_leaf(leaf: DataFrame, path: str, layout: str = "parquet", attrs: bool = True) -> None:
-    """Write whole days, replacing those present. Range partitioning on (day, dataset, event)
-    splits a hot day or dataset over several tasks, and leaves every file with a narrow range
-    of dataset names, so name filters skip row groups. Columns the layout lacks are NULL when
+    """Write whole days, replacing those present. Range partitioning on (day, dataset, event,
+    position) splits a hot day, dataset or event over several tasks, and leaves every file with
+    a narrow range of dataset names, so name filters skip row groups. Columns the layout lacks are NULL when
     read back; `attrs=False` leaves the attributes out."""
     # an explicit number, as merging small partitions would leave few tasks to open many folders
     parts = int(leaf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = leaf.repartitionByRange(parts, *SORT).sortWithinPartitions(*SORT)
+    keys = [c for c in SORT if c in leaf.columns]
+    out = leaf.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     if layout == "csv":
         if "attrs" in out.columns:
             out = out.withColumn("attrs", attrs_to_text(F.col("attrs")))
@@ -46,17 +51,14 @@ def write_leaf(leaf: DataFrame, path: str, layout: str = "parquet", attrs: bool
         out = out.drop("attrs")
     (out.write.mode("overwrite").partitionBy("event_date")
      .option("partitionOverwriteMode", "dynamic").option("header", "true")
-     # a NULL and an empty value are different things in the index
-     .option("nullValue", "\\N").option("emptyValue", "").option("escape", '"')
+     .options(**CSV_OPTIONS)
      .format(layout).save(path))
 
 
 def read_leaf(spark: SparkSession, path: str, layout: str = "parquet") -> DataFrame:
     if layout == "parquet":
         return spark.read.schema(LEAF).parquet(path)
-    rows = (spark.read.schema(CSV_LEAF).option("header", "true").option("nullValue", "\\N")
-            .option("emptyValue", "").option("escape", '"').option("multiLine", "false")
-            .csv(path))
+    rows = spark.read.schema(CSV_LEAF).options(**CSV_OPTIONS).option("header", "true").csv(path)
     return (rows.withColumn("attrs", F.when(F.col("attrs").isNotNull(),
                                             text_to_attrs(F.col("attrs"))))
             .withColumn("shape", parse_shape(F.col("shape")))
@@ -70,7 +72,7 @@ def read_event_csvs(spark: SparkSession, root: str, layout: str = "full") -> Dat
     headers = CSV_FULL if layout == "full" else CSV_OPTIMIZED
     schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
     rows = (spark.read.schema(schema).option("header", "true").option("escape", '"')
-            .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(root)
+            .option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(root)
             .withColumn("path", F.col("_metadata.file_path"))
             .withColumn("seq", F.monotonically_increasing_id()))
     attrs = F.col("`Dataset Attributes`") if layout == "full" else F.lit(None).cast("string")

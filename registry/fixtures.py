@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventindex.functions.times import day_dir, local_day, ns_to_ts
+from eventindex.operators.dictionaries import distinct_names
 from eventindex.plans.api import EventIndex
 from eventindex.session import new_path, spread
 
@@ -54,7 +55,9 @@ def _leaf(rows: DataFrame, fields: list[Field], order: Column | None = None) ->
         return out
 
     numbers = F.explode(F.array(*[F.lit(i) for i in range(len(fields))])).alias("_i")
-    group = pick(lambda f: f.group)
+    groups, kinds = [f.group for f in fields], {f.dtype for f in fields}
+    group = groups[0] if all(g is groups[0] for g in groups) else pick(lambda f: f.group)
+    dtype = F.lit(fields[0].dtype) if len(kinds) == 1 else pick(lambda f: F.lit(f.dtype))
     none = F.lit(None).cast("string")
     shape = pick(lambda f: F.array(*[F.lit(n) for n in f.shape]))
     size = pick(lambda f: F.lit(math.prod(f.shape)).cast("bigint"))
@@ -69,7 +72,7 @@ def _leaf(rows: DataFrame, fields: list[Field], order: Column | None = None) ->
         pick(lambda f: f.value.cast("string")).alias("value"),
         pick(lambda f: F.lit(None).cast("double") if f.number is None else f.number)
         .alias("value_num"),
-        shape.alias("shape"), size.alias("size"), pick(lambda f: F.lit(f.dtype)).alias("dtype"),
+        shape.alias("shape"), size.alias("size"), dtype.alias("dtype"),
         (seq if order is None else order).alias("seq"), "event_date")
 
 
@@ -155,15 +158,18 @@ def lines_index(spark: SparkSession, sf_dir: str) -> EventIndex:
 
 def shots_index(spark: SparkSession, sf_dir: str) -> EventIndex:
     labels = table(spark, sf_dir, "embeddings").select("label").distinct()
-    fields = F.explode(F.array(*[F.lit(f) for f in ("data", "width", "height")])).alias("field")
     group = F.concat(F.lit("/cam"), F.col("label"), F.lit("/image"))
-    names = labels.select(group.alias("group"), fields).select(
-        "group", F.concat("group", F.lit("/"), "field").alias("dataset_name"))
+    own = [F.concat(group, F.lit("/" + f)) for f in ("data", "width", "height")]
+    shared = [F.lit(n) for n in ("/beam/source/intensity", "/beam/source/user",
+                                 "/streak/camera/exposure", "/streak/camera/timeRange",
+                                 "/streak/camera/info")]
+    names = labels.select(group.alias("group"),
+                          F.explode(F.array(*own, *shared)).alias("dataset_name"))
     # a comment per camera, so comment search finds what keyword search cannot
-    about = names.where("dataset_name LIKE '%/data'").select(
+    about = names.where("dataset_name LIKE '%/image/data'").select(
         F.concat(F.lit("Frames of "), F.upper("group")).alias("comment"), "dataset_name")
     return EventIndex(events(spark, sf_dir), leaf_shots(spark, sf_dir),
-                      names.select("dataset_name"), about, payload(spark, sf_dir), root=ROOT)
+                      distinct_names(names), about, payload(spark, sf_dir), root=ROOT)
 
 
 def leaf_events(leaf: DataFrame) -> DataFrame:
