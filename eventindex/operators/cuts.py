@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventindex.operators.select import first_of, name_condition
 
-CUT = r"^\s*(\S+)\s*(<=|>=|==|<|>)\s*(\S+)\s*$"
+CUT = r"^\s*(\S+)\s+(\S+)\s+(\S+)\s*$"
 OPERATORS = ("<", ">", "==")
 
 
@@ -35,15 +34,13 @@ def parse_cuts(text: str) -> list[Cut]:
 def cut_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
     """Cut text held in a column, one row per cut; a malformed one has NULL in `op`."""
     part = F.col("_cut")
-    op = F.regexp_extract(part, CUT, 2)
-    known = op.isin(*OPERATORS)
+    name, op, number = (F.regexp_extract(part, CUT, i) for i in (1, 2, 3))
+    bound = number.try_cast("double")
+    good = op.isin(*OPERATORS) & bound.isNotNull()
     return (df.select(*keep, F.posexplode(F.split(text, ",")).alias("cut_id", "_cut"))
             .where(F.trim(part) != "")
-            .select(*keep, "cut_id",
-                    F.regexp_extract(part, CUT, 1).alias("dataset_name"),
-                    F.when(known, op).alias("op"),
-                    F.when(known, F.regexp_extract(part, CUT, 3).try_cast("double"))
-                    .alias("bound")))
+            .select(*keep, "cut_id", name.alias("dataset_name"), F.when(good, op).alias("op"),
+                    F.when(good, bound).alias("bound")))
 
 
 def comparable() -> Column:
@@ -58,7 +55,9 @@ def passes(value: Column, cut: Cut, strict: bool = False, missing: str = "pass")
     and fails `==`. NULL (dataset absent, or not a number) passes unless missing="fail"."""
     bound = F.lit(cut.bound)
     number = ~F.isnan(value)
-    if cut.op == "==":
+    if math.isnan(cut.bound):  # nothing is above, below or equal to it
+        ok = F.when(value.isNotNull(), F.lit(cut.op != "=="))
+    elif cut.op == "==":
         ok = number & (value == bound)
     elif cut.op == "<":
         ok = ~number | ((value < bound) if strict else (value <= bound))

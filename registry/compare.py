@@ -33,12 +33,11 @@ def canonical(names, rows) -> tuple[list[str], list[tuple]]:
     return [names[i] for i in order], out
 
 
-def difference(spark, con, entry, sf_dir: str) -> str | None:
+def difference(df, con, sql: str) -> str | None:
     """None when equal, else what differs."""
-    df = entry.run(spark, sf_dir)
     arrow = df.toArrow()
     got = canonical(df.columns, zip(*[c.to_pylist() for c in arrow.columns]))
-    cur = con.execute(entry.sql)
+    cur = con.execute(sql)
     names = [d[0] for d in cur.description]
     want = canonical(names, cur.fetchall())
     if got[0] != want[0]:
@@ -63,7 +62,7 @@ def main(sf_dir: str, keys: list[str]) -> int:
     for key in keys or ENTRIES:
         start = time.time()
         try:
-            problem = difference(spark, con, ENTRIES[key], sf_dir)
+            problem = difference(ENTRIES[key].run(spark, sf_dir), con, ENTRIES[key].sql)
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         bad += problem is not None

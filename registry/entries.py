@@ -144,7 +144,7 @@ _ROW = "l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_extendedp
 def _(spark, sf):
     """Every line as a container of structs, an array of groups, a map group, and an array."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
-    li = spread(table(spark, sf, "lineitem"), "l_orderkey").withColumn(
+    li = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").withColumn(
         "l_linenumber", F.col("l_linenumber").cast("bigint"))
     nested = li.select(
         *keys,

@@ -84,11 +84,11 @@ def leaf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     number, so "first match" matters; line, field, part and price make the walk order unique."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("timestamp")
-        .alias("event_ts"))
+        .alias("event_ts")).withColumn("event_date", local_day(F.col("event_ts")))
     lines = table(spark, sf_dir, "lineitem").withColumn("event_key",
                                                         F.col("l_orderkey").cast("string"))
-    rows = (spread(lines, "event_key").join(orders, "l_orderkey")
-            .withColumn("event_date", local_day(F.col("event_ts"))))
+    # by part as well: one order may hold a large share of all lines
+    rows = spread(lines, "event_key", "l_partkey").join(orders, "l_orderkey")
     group = F.concat(F.lit("/line"), F.col("l_linenumber"))
     seq = ((F.col("l_linenumber").cast("bigint") * 4 + F.col("_i")) * (1 << 58)
            + F.col("l_partkey") * (1 << 24)

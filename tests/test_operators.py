@@ -69,6 +69,18 @@ def test_malformed_cuts_are_errors(text):
         C.parse_cuts(text)
 
 
+def test_cut_text_in_a_column_follows_the_same_rules(spark):
+    texts = ["/a/b < 100.0,/a/b > 1", "/a==3", "/a == 3", "/a <= 3,/b > x", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    rows = C.cut_rows(df, "text", "id").orderBy("id", "cut_id").collect()
+    good = {}
+    for r in rows:
+        if r.op is not None:
+            good.setdefault(r.id, []).append(C.Cut(r.dataset_name, r.op, r.bound))
+    assert good == {0: C.parse_cuts(texts[0]), 2: C.parse_cuts(texts[2])}
+    assert [r.id for r in rows if r.op is None] == [1, 3, 3]
+
+
 def expected(value, op, bound, strict, missing):
     """What a cut says about the first value: absent, text, missing number, or a number."""
     if value in ("absent", "text"):
@@ -76,7 +88,7 @@ def expected(value, op, bound, strict, missing):
     v = math.nan if value is None else value
     if op == "==":
         return v == bound
-    if math.isnan(v):
+    if math.isnan(v) or math.isnan(bound):
         return True
     if op == "<":
         return v < bound if strict else v <= bound
@@ -98,9 +110,12 @@ def test_cut_semantics(make_leaf, strict, missing):
     leaf = make_leaf(rows).cache()
     events = leaf.select("event_key").distinct()
     for op in C.OPERATORS:
-        kept = C.apply_cuts(events, leaf, [C.Cut("/x", op, 2.5)], strict=strict, missing=missing)
-        want = {f"e{i}" for i, v in enumerate(VALUES) if expected(v, op, 2.5, strict, missing)}
-        assert {r.event_key for r in kept.collect()} == want, op
+        for bound in (2.5, math.nan):
+            kept = C.apply_cuts(events, leaf, [C.Cut("/x", op, bound)], strict=strict,
+                                missing=missing)
+            want = {f"e{i}" for i, v in enumerate(VALUES)
+                    if expected(v, op, bound, strict, missing)}
+            assert {r.event_key for r in kept.collect()} == want, (op, bound)
 
 
 @settings(max_examples=8, deadline=None)

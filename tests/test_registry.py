@@ -15,6 +15,8 @@ from registry.compare import difference, duck
 from registry.entries import ENTRIES, LINE_CUTS, LINE_FROM, LINE_TO, SHOT_CUTS, SHOT_FROM, SHOT_TO
 
 SF = "/root/testdata/sf0.001"
+BOUNDED_WINDOW = ("select_ordinals", "select_names", "slice_events", "backref_encode",
+                  "backref_decode")
 
 
 @pytest.fixture(scope="module")
@@ -22,11 +24,21 @@ def con():
     return duck(SF)
 
 
+def plan(df) -> str:
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
 @pytest.mark.parametrize("key", list(ENTRIES))
 def test_matches_sql(spark, con, key):
-    problem = difference(spark, con, ENTRIES[key], SF)
+    df = ENTRIES[key].run(spark, SF)
+    problem = difference(df, con, ENTRIES[key].sql)
     # at this size every customer has orders of several statuses
     assert problem is None or (key == "constants" and problem == "no rows")
+    text = plan(df)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    # nothing but the bounded windows of ordinals is brought into a single partition
+    assert key in BOUNDED_WINDOW or "SinglePartition" not in text
 
 
 def test_driver_contract(spark):
@@ -34,22 +46,6 @@ def test_driver_contract(spark):
     assert driver.entry(spark).count() > 0
 
 
-def plan(df) -> str:
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-
-
-@pytest.mark.parametrize("key", list(ENTRIES))
-def test_no_cross_or_nested_loop_join(spark, key):
-    if key in ("scan_files", "index_binary"):  # one scan each, and building the tree is slow
-        pytest.skip("no join")
-    text = plan(ENTRIES[key].run(spark, SF))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    # nothing but the bounded windows of ordinals is brought into a single partition
-    assert key in ("select_ordinals", "select_names", "slice_events", "backref_encode",
-                   "backref_decode") or "SinglePartition" not in text
-
-
 @pytest.fixture(scope="module")
 def stored(spark):
     path = new_path(spark, "stored")
@@ -75,6 +71,16 @@ def test_columns_and_cuts_share_one_shuffle(spark, stored):
     assert "attrs" not in schema and "comment" not in schema and "shape" not in schema
 
 
+def test_stored_times_have_statistics(stored):
+    import pyarrow.parquet as pq
+
+    meta = pq.ParquetFile(stored.inputFiles()[0].removeprefix("file://")).metadata.row_group(0)
+    columns = {meta.column(i).path_in_schema: meta.column(i) for i in range(meta.num_columns)}
+    for name in ("event_ts", "dataset_name", "group_name"):
+        assert columns[name].statistics.has_min_max, name
+    assert columns["event_ts"].physical_type == "INT64"
+
+
 def test_numeric_columns_aggregate_by_hash(spark):
     text = plan(fx.lines_index(spark, SF).load_column(
         "line1 quantity", "", LINE_FROM, LINE_TO, LINE_CUTS, numeric=True))

@@ -276,3 +276,27 @@ def test_hdf5_walk_with_a_stand_in(monkeypatch):
     assert got[0].group_attrs == {"comment": "in mm"} and got[1].attrs == {"acqStamp": "7"}
     assert list(got[4].data) == [0, 1, 2, 3, 4, 5] and got[0].data is None
     assert next(e for e in SC.decode_hdf5(b"bytes", False) if e.shape == [2, 3]).data is None
+
+
+def test_row_groups_hold_few_datasets(spark):
+    """Arrays of 0.8 MB each, decoded in mixed order by one task."""
+    import glob
+    import pyarrow.parquet as pq
+
+    def entries(content, arrays):
+        rng = np.random.default_rng(len(content))
+        for name in ("/cam1/image/data", "/cam2/image/data"):
+            yield SC.Entry(name, "/g", {}, {}, None, [100_000], "float64", rng.random(100_000))
+
+    files = spark.createDataFrame([(f"/t/{NS + i}_1_{i}.h5", bytes(i + 1)) for i in range(80)],
+                                  "path string, content binary").coalesce(1)
+    path = new_path(spark, "decoded")
+    SC.write_decoded(SC.decode_files(files, entries, arrays=True), path)
+    (file,) = glob.glob(path + "/has_data=true/*/*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    column = meta.schema.to_arrow_schema().names.index("dataset_name")
+    stats = [meta.row_group(i).column(column).statistics for i in range(meta.num_row_groups)]
+    assert len(stats) >= 3
+    assert sum(s.min != s.max for s in stats) <= 1
+    got = SC.payload_rows(SC.read_decoded(spark, path)).where("dataset_name LIKE '/cam2%'")
+    assert got.selectExpr("sum(size(data))").head()[0] == 80 * 100_000
