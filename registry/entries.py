@@ -432,7 +432,7 @@ FACTS = f"""facts AS (SELECT event_id, event_key, event_type, value, {INFO} AS i
 
 def with_info(spark, sf) -> DataFrame:
     return fx.event_rows(spark, sf).select("event_id", "event_key", "event_type", "value",
-                                           fx.info_text().alias("info"))
+                                           F.expr(INFO).alias("info"))
 
 
 @entry("info_facts", f"""WITH {EV}, {FACTS}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventindex.functions.times import day_dir, local_day, ns_to_ts
 from eventindex.operators.dictionaries import distinct_names
@@ -36,44 +36,46 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Field(NamedTuple):
-    """One dataset per row: where it sits, and its value as text and as a number."""
-    group: Column
+    """One dataset per row, as SQL: where it sits, and its value as text and as a number."""
+    group: str
     name: str
-    value: Column
-    number: Column | None = None
+    value: str
+    number: str = "NULL"
     shape: tuple[int, ...] = (1,)
     dtype: str = "float64"
 
 
-def _leaf(rows: DataFrame, fields: list[Field], order: Column | None = None) -> DataFrame:
+def _leaf(rows: DataFrame, fields: list[Field], order: str = "CAST(_i AS bigint)") -> DataFrame:
     """Rows in the leaf layout, one per row and field. Only the field number is generated; all
     columns are expressions of it, so those a query does not read are never computed."""
-    def pick(of) -> Column:
-        out = F.when(F.col("_i") == 0, of(fields[0]))
-        for i, f in enumerate(fields[1:], 1):
-            out = out.when(F.col("_i") == i, of(f))
-        return out
-
-    numbers = F.explode(F.array(*[F.lit(i) for i in range(len(fields))])).alias("_i")
-    groups, kinds = [f.group for f in fields], {f.dtype for f in fields}
-    group = groups[0] if all(g is groups[0] for g in groups) else pick(lambda f: f.group)
-    dtype = F.lit(fields[0].dtype) if len(kinds) == 1 else pick(lambda f: F.lit(f.dtype))
-    none = F.lit(None).cast("string")
-    shape = pick(lambda f: F.array(*[F.lit(n) for n in f.shape]))
-    size = pick(lambda f: F.lit(math.prod(f.shape)).cast("bigint"))
-    if all(f.shape == (1,) for f in fields):
-        shape, size = F.array(F.lit(1)), F.lit(1).cast("bigint")
-    seq = F.col("_i").cast("bigint")
-    return rows.select("*", numbers).select(
-        "event_key", "event_ts",
-        F.concat(group, F.lit("/"), pick(lambda f: F.lit(f.name))).alias("dataset_name"),
-        group.alias("group_name"), F.lit(None).cast("map<string,string>").alias("attrs"),
-        none.alias("comment"), none.alias("acq_stamp"), none.alias("exception"),
-        pick(lambda f: f.value.cast("string")).alias("value"),
-        pick(lambda f: F.lit(None).cast("double") if f.number is None else f.number)
-        .alias("value_num"),
-        shape.alias("shape"), size.alias("size"), dtype.alias("dtype"),
-        (seq if order is None else order).alias("seq"), "event_date")
+    def pick(of) -> str:
+        texts = [of(f) for f in fields]
+        if len(set(texts)) == 1:
+            return texts[0]
+        return "CASE _i" + "".join(f" WHEN {i} THEN {t}" for i, t in enumerate(texts)) + " END"
+
+    group = pick(lambda f: f.group)
+    numbers = ", ".join(str(i) for i in range(len(fields)))
+    texts = pick(lambda f: f"'{f.name}'")
+    columns = {
+        "event_key": "event_key",
+        "event_ts": "event_ts",
+        "dataset_name": f"concat({group}, '/', {texts})",
+        "group_name": group,
+        "attrs": "CAST(NULL AS map<string,string>)",
+        "comment": "CAST(NULL AS string)",
+        "acq_stamp": "CAST(NULL AS string)",
+        "exception": "CAST(NULL AS string)",
+        "value": pick(lambda f: f"CAST({f.value} AS string)"),
+        "value_num": pick(lambda f: f"CAST({f.number} AS double)"),
+        "shape": pick(lambda f: f"array({', '.join(map(str, f.shape))})"),
+        "size": f"CAST({pick(lambda f: str(math.prod(f.shape)))} AS bigint)",
+        "dtype": pick(lambda f: f"'{f.dtype}'"),
+        "seq": order,
+        "event_date": "event_date",
+    }
+    return (rows.selectExpr("*", f"explode(array({numbers})) AS _i")
+            .selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()]))
 
 
 MEASURES = ["quantity", "extendedprice", "discount", "tax"]
@@ -89,20 +91,16 @@ def leaf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                         F.col("l_orderkey").cast("string"))
     # by part as well: one order may hold a large share of all lines
     rows = spread(lines, "event_key", "l_partkey").join(orders, "l_orderkey")
-    group = F.concat(F.lit("/line"), F.col("l_linenumber"))
-    seq = ((F.col("l_linenumber").cast("bigint") * 4 + F.col("_i")) * (1 << 58)
-           + F.col("l_partkey") * (1 << 24)
-           + F.round(F.col("l_extendedprice") * 100).cast("bigint"))
-    return _leaf(rows, [Field(group, m, F.col(f"l_{m}"), F.col(f"l_{m}")) for m in MEASURES], seq)
+    seq = f"""(CAST(l_linenumber AS bigint) * 4 + _i) * {1 << 58} + l_partkey * {1 << 24}
+      + CAST(round(l_extendedprice * 100) AS bigint)"""
+    return _leaf(rows, [Field("concat('/line', l_linenumber)", m, f"l_{m}", f"l_{m}")
+                        for m in MEASURES], seq)
 
 
-def info_text() -> Column:
-    kind, value = F.col("event_type"), F.col("value")
-    slit = (F.when(kind == "click", "20.0").when(kind == "view", "20").otherwise("35.5"))
-    shutter = F.when(value < 150, "open").otherwise("closed")
-    mode = (F.when(kind == "signup", "focus lens").when(kind == "error", "focus time 3")
-            .otherwise("mode operate"))
-    return F.concat(F.lit('slit width="'), slit, F.lit('",shutter="'), shutter, F.lit('",'), mode)
+INFO = """concat('slit width="', CASE event_type WHEN 'click' THEN '20.0' WHEN 'view' THEN '20'
+  ELSE '35.5' END, '",shutter="', CASE WHEN value < 150 THEN 'open' ELSE 'closed' END, '",',
+  CASE event_type WHEN 'signup' THEN 'focus lens' WHEN 'error' THEN 'focus time 3'
+  ELSE 'mode operate' END)"""  # the same in both dialects
 
 
 def leaf_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,20 +108,18 @@ def leaf_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     group, whose array is in `payload`."""
     images = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("event_id"), "label")
     rows = event_rows(spark, sf_dir).join(images, "event_id", "left")
-    source, camera = F.lit("/beam/source"), F.lit("/streak/camera")
-    image = F.concat(F.lit("/cam"), F.col("label"), F.lit("/image"))
-    kind, user = F.col("event_type"), F.col("user_id")
+    source, camera, image = "'/beam/source'", "'/streak/camera'", "concat('/cam', label, '/image')"
+    exposure = "CASE WHEN event_type IN ('click', 'view') THEN '100 ms' ELSE '50 ms' END"
     fields = [
-        Field(source, "intensity", F.col("value"), F.col("value")),
-        Field(source, "user", user, user.cast("double"), dtype="int64"),
-        Field(camera, "exposure",
-              F.when(kind.isin("click", "view"), "100 ms").otherwise("50 ms"), dtype="object"),
-        Field(camera, "timeRange",
-              F.when(F.col("value") < 50, "200 ps").otherwise("1 ns"), dtype="object"),
-        Field(camera, "info", info_text(), dtype="object"),
-        Field(image, "data", F.lit(None), shape=(8, 8)),
-        Field(image, "width", F.lit("8"), F.lit(8.0), dtype="int64"),
-        Field(image, "height", F.lit("8"), F.lit(8.0), dtype="int64"),
+        Field(source, "intensity", "value", "value"),
+        Field(source, "user", "user_id", "user_id", dtype="int64"),
+        Field(camera, "exposure", exposure, dtype="object"),
+        Field(camera, "timeRange", "CASE WHEN value < 50 THEN '200 ps' ELSE '1 ns' END",
+              dtype="object"),
+        Field(camera, "info", INFO, dtype="object"),
+        Field(image, "data", "NULL", shape=(8, 8)),
+        Field(image, "width", "'8'", "8", dtype="int64"),
+        Field(image, "height", "'8'", "8", dtype="int64"),
     ]
     # the image group exists only where there is an image
     return _leaf(rows, fields).where("group_name IS NOT NULL")
@@ -258,11 +254,6 @@ LINES = """leaf AS (
     SELECT *, 'tax', 3, l_tax FROM lineitem)
   JOIN orders ON l_orderkey = o_orderkey)"""
 
-INFO = """'slit width="' || CASE event_type WHEN 'click' THEN '20.0' WHEN 'view' THEN '20'
-  ELSE '35.5' END || '",shutter="' || CASE WHEN value < 150 THEN 'open' ELSE 'closed' END
-  || '",' || CASE event_type WHEN 'signup' THEN 'focus lens' WHEN 'error' THEN 'focus time 3'
-  ELSE 'mode operate' END"""
-
 SHOTS = f"""{EV}, cam AS (
   SELECT ev.*, label, embedding, '/cam' || label || '/image' AS image_group
   FROM ev JOIN embeddings ON vec_id = event_id),
