@@ -64,6 +64,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     keys = sys.argv[1:] or HEADLINE
+    evaluate(ENTRIES[keys[0]].run(spark, sf_dir))
     seconds = {key: better(lambda: evaluate(ENTRIES[key].run(spark, sf_dir))) for key in keys}
     if keys is HEADLINE:
         seconds |= stored(spark, sf_dir)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +26,26 @@ SQL_SETTINGS = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they need not run in its
+    folder or have it installed."""
+    sc, folder = spark.sparkContext, Path(__file__).resolve().parent
+    if sc.applicationId in _shipped or not folder.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="eventindex-")) / "eventindex.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(folder.rglob("*.py")):
+            out.write(file, file.relative_to(folder.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings the library relies on, and make it known to the Python workers."""
+    ship_package(spark)
     for key, value in SQL_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

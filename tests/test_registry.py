@@ -1,6 +1,9 @@
 """Every registered query against its SQL, and the shape of the plans."""
 
+import os
 import re
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,6 +114,28 @@ def test_stored_index_gives_the_same_answers(spark, stored):
     assert rows(direct) == rows(kept) != []
 
 
+def test_workers_need_not_run_in_this_folder(tmp_path):
+    """A driver in another folder, in another time zone, that knows this file's path only."""
+    root = driver.__file__
+    script = tmp_path / "drive.py"
+    script.write_text(f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("entry_file", {root!r})
+module = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(module)
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2")
+         .config("spark.sql.session.timeZone", "America/New_York").getOrCreate())
+run = module.queries()["median3x3"]
+print("pixels", run(spark, {SF!r}).agg({{"x": "sum"}}).count(), run(spark, {SF!r}).count())
+""")
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True,
+                          text=True, timeout=300,
+                          env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert "pixels 1 32000" in done.stdout, done.stderr[-2000:]
+
+
 def test_hot_event_and_hot_dataset(spark, con):
     """A third of all rows in one event, and in one dataset: same answers, no long task list."""
     lines = fx.leaf_lines(spark, SF)
