@@ -118,7 +118,7 @@ def _(spark, sf):
   event_date::VARCHAR AS path_day FROM ev""")
 def _(spark, sf):
     """Months without zero padding, as some trees have them."""
-    path = F.concat(F.lit("/eos/tree/"), F.date_format("event_date", "yyyy/M/dd"), F.lit("/"),
+    path = F.concat(F.lit("/tree/"), F.date_format("event_date", "yyyy/M/dd"), F.lit("/"),
                     F.col("event_key"), F.lit(".csv"))
     rows = fx.event_rows(spark, sf).select("event_id", path.alias("path"))
     return rows.withColumns(N.path_fields(F.col("path"))).select(
