@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventindex.operators.select import first_of, name_condition
+from eventindex.operators.select import first_of, fresh_keys, name_condition
 
 CUT = r"^\s*(\S+)\s+(\S+)\s+(\S+)\s*$"
 OPERATORS = ("<", ">", "==")
@@ -102,7 +102,7 @@ def apply_cuts(rows: DataFrame, leaf: DataFrame, cuts: list[Cut], match: str = "
     by default failing events are removed; with missing="fail" passing events are kept."""
     if not cuts:
         return rows
-    judged = judge_events(leaf, cuts, match, strict, missing)
+    judged = fresh_keys(judge_events(leaf, cuts, match, strict, missing))
     if missing == "fail":
         return rows.join(judged.where("passed").select("event_key"), "event_key", "left_semi")
     return rows.join(judged.where("NOT passed").select("event_key"), "event_key", "left_anti")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from eventindex.functions.names import parent_group
 from eventindex.functions.values import missing_to_null
 from eventindex.operators.cuts import Cut, all_pass, any_cut_name, cut_aggregates
-from eventindex.operators.select import EVENT, first_of, name_condition
+from eventindex.operators.select import EVENT, first_of, fresh_keys, name_condition
 
 
 def in_group(group: str):
@@ -41,6 +41,7 @@ def expand_group(leaf: DataFrame, dataset_name: str, match: str = "equals",
     default every event holding the dataset)."""
     if anchors is None:
         anchors = anchor_events(leaf, dataset_name, match)
+    anchors = fresh_keys(anchors)
     if match == "equals":
         # the group is known, so the scan skips all others and only the event is joined
         return leaf.where(in_group(parent_group(dataset_name))).join(anchors, "event_key")

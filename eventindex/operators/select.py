@@ -56,5 +56,12 @@ def pivot_columns(leaf: DataFrame, names: dict[str, str], value: str = "value",
     return leaf.groupBy(*EVENT).agg(*aggregates, F.count_if(chosen).alias("_found"), *more)
 
 
+def fresh_keys(keys: DataFrame, key: str = "event_key") -> DataFrame:
+    """Key rows made by an aggregation, for a join against many rows per key. Their grouping is
+    hidden by an expression that changes nothing, so the join shuffles both sides: only between
+    two fresh shuffles can AQE split a hot key. The key rows are narrow, so theirs is cheap."""
+    return keys.withColumn(key, F.concat(key, F.lit("")))
+
+
 def count_per_day(events: DataFrame) -> DataFrame:
     return events.groupBy("event_date").agg(F.count("*").alias("n"))

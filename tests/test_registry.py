@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from eventindex.operators import ordinals as O, select as S
+from eventindex.operators import groups as G, ordinals as O, select as S
 from eventindex.plans.api import EventIndex
 from eventindex.session import new_path
 from eventindex.sources import index as SI
@@ -175,3 +175,31 @@ def test_peak_frequencies(spark, make_leaf):
         assert np.isclose(r.max_amplitude, amplitudes.max())
         assert r.peak_bin in (amplitudes.argmax(), 16 - amplitudes.argmax())
         assert np.isclose(r.max_frequency, r.peak_bin * 1e3 / 37.5)
+
+
+def test_a_hot_event_is_split_in_group_joins(spark):
+    """A third of all rows in one event. The thresholds are lowered to the size of the test data,
+    and broadcasts switched off, as they would be for a large side."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+                "spark.sql.shuffle.partitions": "16"}
+    lines = fx.leaf_lines(spark, SF)
+    hot = F.col("seq") % 3 == 0
+    leaf = lines.withColumns({
+        "event_key": F.when(hot, "hot").otherwise(F.col("event_key")),
+        "event_ts": F.lit(0).cast("timestamp"), "event_date": F.lit("1970-01-01").cast("date")})
+    plain = sorted(map(str, G.group_values(leaf, "/line2/tax").collect()))
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = G.group_values(leaf, "/line2/tax")
+        assert sorted(map(str, df.collect())) == plain
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
