@@ -12,14 +12,17 @@ from eventindex.session import configure
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-# fixed value: what counts as a word in the SQL below
-WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """The library's settings; batches for Python are bounded by bytes, for texts may be long."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return spark
 
 
 def query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark), sf_dir)
+            return fn(prepare(spark), sf_dir)
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run
         if sql:
@@ -28,6 +31,30 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op6_ngram_jaccard_join", r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+            lambda x: x <> '') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(w) - 2),
+                   lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM w),
+    e AS (SELECT doc_id, len(s) AS n, unnest(s) AS e FROM s),
+    p AS (SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS n, any_value(b.n) AS m,
+              count(*) AS k
+          FROM e a JOIN e b ON a.e = b.e AND a.doc_id <> b.doc_id
+               AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY ALL),
+    l AS (SELECT u, v FROM p WHERE 100 * k >= 85 * (n + m - k)),
+    r AS (SELECT doc_id AS id, doc_id AS c FROM documents
+          UNION SELECT l.v, r.c FROM r JOIN l ON r.id = l.u)
+    SELECT s.doc_id, len(s.s) AS n_shingles, least(s.doc_id, min(r.c)) AS component_id
+    FROM s JOIN r ON r.id = s.doc_id GROUP BY s.doc_id, len(s.s)""")
+def ngram_jaccard_join(spark, sf_dir):
+    from eventindex.llm import parity_join
+
+    return parity_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op8_mix_sources")
 def mix_sources(spark, sf_dir):
     from eventindex.llm import mixing
