@@ -13,11 +13,12 @@ sample of documents finds common: such words are rare, so passages that many doc
 few candidates together. The order changes the cost, never the result: every pair above the
 threshold meets in some bucket, and each candidate pair is verified on the whole sets.
 
-Buckets are not expanded into all pairs. Equal sets are one class. In a round, the members of a
-bucket are compared with its hubs (its first member at first, four times as many in each round),
-and links join components. A bucket whose members are all in one component is done, for any
-further link in it would join nothing; so are hubs, as they have met all members. The rounds end
-when no bucket has two components, so no link between different components is missed.
+Buckets are not expanded into all pairs. Equal sets are one class. First every member of a bucket is
+compared with the bucket's smallest id, and links join components. A bucket whose members are now
+all in one component is done, for a further link in it would join nothing. Members of the others
+are packed into blocks, and blocks of one bucket are compared by the Hamming distance of a bit
+sketch as long as the set (numpy, all against all inside the task); only pairs of different
+components that pass it become rows. Every candidate pair is verified on the whole sets.
 
 Defined results: a null or wordless text is an empty set, linked with nothing, its own component;
 rows that share an id are one document (their texts all link it); a null id takes the component of
@@ -30,17 +31,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from eventindex.llm.common import HashCache, mix, rows_of, shingles, words
 from eventindex.llm.components import components
-from eventindex.session import materialise, new_path
+from eventindex.session import new_path
 
 PERCENT = 85
 WIDTH = 4
 SAMPLE = 2_048      # documents that tell which elements are common (ordering only)
 COMMON = 65_536     # at most so many common elements are broadcast
-GROWTH = 4
+BLOCK = 256         # members of a bucket that are compared as one block
 
 
 def max_difference(total: int, percent: int = PERCENT) -> int:
@@ -64,25 +65,32 @@ def bands(n: int, percent: int = PERCENT) -> list[tuple[int, int, int]]:
     return out
 
 
-def signatures(s: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Bucket keys of a set: the chosen words of its sketches."""
+def signatures(s: np.ndarray, common: np.ndarray,
+               percent: int = PERCENT) -> tuple[list[np.ndarray], list[int], list[bytes]]:
+    """Per band of a set: bucket keys (chosen words of its sketch; the last bits tell the band),
+    the band, and the bit sketch for Hamming tests."""
     rare = np.ones(len(s), bool)
     if len(common):
         at = np.minimum(np.searchsorted(common, s), len(common) - 1)
         rare = common[at] != s
-    out = []
+    keys, of, bits = [], [], []
     for band, parts, choose in bands(len(s), percent):
         h = mix(s + np.uint64(band + 1))
         part = (h % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         filled, first = np.unique(part[order], return_index=True)
         value = np.zeros(parts, np.uint64)
-        value[filled] = np.bitwise_xor.reduceat(mix(h)[order], first)
+        mixed = mix(h)
+        value[filled] = np.bitwise_xor.reduceat(mixed[order], first)
         weight = np.bincount(part, rare, minlength=parts)
         key = mix(mix(value + np.arange(parts, dtype=np.uint64)) + np.uint64(band))
         best = np.lexsort((key, -weight))[:choose]
-        out.append(key[best])
-    return np.concatenate(out).view(np.int64)
+        keys.append((key[best] & ~np.uint64(31) | np.uint64(band)).view(np.int64))
+        of.append(band)
+        length = max(64, 2 << band)
+        flips = np.bincount((mixed >> np.uint64(20)).astype(np.int64) % length, minlength=length)
+        bits.append(np.packbits((flips & 1).astype(np.uint8)).tobytes())
+    return keys, of, bits
 
 
 def sketch_task(width: int, percent: int, common_var) -> Callable:
@@ -90,28 +98,26 @@ def sketch_task(width: int, percent: int, common_var) -> Callable:
         import pyarrow as pa
 
         common, cache = common_var.value, HashCache()
+        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()),
+                            ("set_b", pa.int64()), ("keys", pa.list_(pa.int64())),
+                            ("bands", pa.list_(pa.int32())), ("bits", pa.list_(pa.binary()))])
         for batch in batches:
-            out = {"doc_id": [], "n": [], "set_a": [], "set_b": [], "keys": []}
+            out = {c: [] for c in schema.names}
             for doc_id, text in rows_of(batch, "doc_id", "text"):
                 s = shingles(cache.of(words(text)), width)
-                out["doc_id"].append(doc_id)
-                out["n"].append(len(s))
-                out["set_a"].append(int(np.bitwise_xor.reduce(mix(s)).view(np.int64)) if len(s) else 0)
-                out["set_b"].append(int(s.sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
-                out["keys"].append(signatures(s, common, percent) if len(s) else [])
+                keys, of, bits = signatures(s, common, percent) if len(s) else ([[]], [], [])
+                a, b = (np.bitwise_xor.reduce(mix(s)), s.sum(dtype=np.uint64)) if len(s) else (0, 0)
+                row = (doc_id, len(s), int(np.uint64(a).view(np.int64)),
+                       int(np.uint64(b).view(np.int64)), np.concatenate(keys), of, bits)
+                for c, v in zip(out, row):
+                    out[c].append(v)
                 if len(out["n"]) >= 1_000:
-                    yield _batch(pa, out)
-                    out = {k: [] for k in out}
-            yield _batch(pa, out)
+                    yield pa.RecordBatch.from_pydict(out, schema)
+                    out = {c: [] for c in out}
+            yield pa.RecordBatch.from_pydict(out, schema)
     return run
 
 
-def _batch(pa, out):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()),
-                        ("set_b", pa.int64()), ("keys", pa.list_(pa.int64()))])
-    return pa.RecordBatch.from_pydict(out, schema)
-
-
 def set_task(width: int, as_rows: bool) -> Callable:
     """Texts to their sets: one row per element, or packed in one value."""
     def run(batches: Iterator) -> Iterator:
@@ -130,6 +136,51 @@ def set_task(width: int, as_rows: bool) -> Callable:
     return run
 
 
+def hamming_task(percent: int) -> Callable:
+    """Rows of (u, v, n, m, a, b), sketches of equal length, to the pairs that may be similar."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            hits = ([], [])
+            for u, v, n, m, a, b in rows_of(batch, "u", "v", "n", "m", "a", "b"):
+                far = (int.from_bytes(a, "big") ^ int.from_bytes(b, "big")).bit_count()
+                if far <= max_difference(n + m, percent):
+                    hits[0].append(u)
+                    hits[1].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in hits], ["u", "v"])
+    return run
+
+
+def block_task(percent: int) -> Callable:
+    """Pairs of blocks to the pairs of members in different components that may be similar."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def arrays(rows):
+            bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8)
+            return (*(np.array([r[c] for r in rows], np.int64) for c in ("rep", "n", "component")),
+                    bits.reshape(len(rows), -1))
+
+        for batch in batches:
+            for left, right in rows_of(batch, "x", "y"):
+                ids, n, comp, bits = arrays(left)
+                ids2, n2, comp2, bits2 = arrays(right)
+                for i in range(len(ids)):
+                    total, least = n[i] + n2, np.minimum(n[i], n2)
+                    near = ((comp2 != comp[i])
+                            & (100 * least >= percent * (total - least)))
+                    if not near.any():
+                        continue
+                    k = np.flatnonzero(near)
+                    far = np.bitwise_count(bits2[k] ^ bits[i]).sum(1, dtype=np.int64)
+                    k = k[far <= (100 - percent) * total[k] // (100 + percent)]
+                    if len(k):
+                        u, v = np.minimum(ids[i], ids2[k]), np.maximum(ids[i], ids2[k])
+                        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+    return run
+
+
 def verify_task(percent: int) -> Callable:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -179,7 +230,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     common = spark.sparkContext.broadcast(common_elements(rows, width))
     sketches = keep(rows.mapInArrow(
         sketch_task(width, percent, common),
-        "doc_id bigint, n bigint, set_a bigint, set_b bigint, keys array<bigint>"))
+        "doc_id bigint, n bigint, set_a bigint, set_b bigint, keys array<bigint>, "
+        "bands array<int>, bits array<binary>"))
 
     # classes of equal sets; the keys of a class are those of any member
     classes = keep(sketches.filter("n > 0").groupBy("n", "set_a", "set_b")
@@ -192,45 +244,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .filter("low != high").select("key"))
     members = keep(buckets.join(shared, "key", "left_semi"))
 
-    def similar_sizes(x: str, y: str):
-        return (100 * F.least(x, y) >= percent * F.greatest(x, y))
+    sketch = reps.select(F.col("doc_id").alias("rep"), "n",
+                         F.explode(F.arrays_zip("bands", "bits")).alias("z")).select(
+        "rep", "n", F.col("z.bands").alias("band"), F.col("z.bits").alias("bits"))
+    sketch = keep(sketch.join(members.select("rep").distinct(), "rep", "left_semi"))
 
-    # the first round: everything against the smallest id of its bucket
+    # everything against the smallest id of its bucket
     hubs = members.groupBy("key").agg(F.min("rep").alias("hub"))
-    sizes = members.groupBy("rep").agg(F.max("n").alias("hub_n"))
-    pairs = keep(members.join(hubs, "key").filter("rep != hub")
-                 .groupBy("hub", "rep").agg(F.max("n").alias("n"))
-                 .join(sizes.withColumnRenamed("rep", "hub"), "hub")
-                 .filter(similar_sizes("n", "hub_n"))
-                 .select(F.col("hub").alias("u"), F.col("rep").alias("v")))
-    tried, links, reach = pairs, keep(_same_ids(sketches, classes)), 1
-    while True:
-        links = links.unionByName(_verified(keep, rows, pairs, width, percent))
-        labels = keep(components(links))
-        held = labels.withColumnRenamed("node", "rep")
-        members = (members.drop("component").join(held, "rep", "left")
-                   .withColumn("component", F.coalesce("component", "rep")))
-        open_keys = (members.groupBy("key")
-                     .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                     .filter("low != high").select("key"))
-        members = keep(members.join(open_keys, "key", "left_semi"))
-        if members.isEmpty():
-            break
-        weight = members.groupBy("component").agg(F.count("*").alias("weight"))
-        rank = Window.partitionBy("key").orderBy("weight", "rep")
-        first = keep(members.join(weight, "component").withColumn("r", F.row_number().over(rank))
-                     .filter(F.col("r") <= reach)
-                     .select("key", F.col("rep").alias("hub"), F.col("n").alias("hub_n"),
-                             F.col("component").alias("hub_component")))
-        pairs = (members.join(first, "key")
-                 .filter(similar_sizes("n", "hub_n") & (F.col("component") != F.col("hub_component")))
-                 .select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v"))
-                 .distinct())
-        pairs = keep(pairs.join(tried, ["u", "v"], "left_anti"))
-        tried = tried.unionByName(pairs)
-        members = keep(members.join(first.select("key", F.col("hub").alias("rep")),
-                                    ["key", "rep"], "left_anti"))
-        reach *= GROWTH
+    near = (members.join(hubs, "key").filter("rep != hub")
+            .select(F.col("hub").alias("u"), F.col("rep").alias("v"),
+                    F.col("key").bitwiseAND(F.lit(31)).cast("int").alias("band")).distinct())
+    ends = [sketch.select(F.col("rep").alias(x), "band", F.col("n").alias(size),
+                          F.col("bits").alias(bits)) for x, size, bits in (("u", "n", "a"), ("v", "m", "b"))]
+    pairs = keep(near.join(ends[0], ["u", "band"]).join(ends[1], ["v", "band"])
+                 .filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+                 .mapInArrow(hamming_task(percent), "u bigint, v bigint").distinct())
+    links = keep(_same_ids(sketches, classes)).unionByName(
+        _verified(keep, rows, pairs, width, percent))
+    labels = keep(components(links))
+
+    # buckets that still hold several components, in blocks
+    held = (members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+            .withColumn("component", F.coalesce("component", "rep")))
+    open_keys = (held.groupBy("key").agg(F.min("component").alias("low"),
+                                         F.max("component").alias("high"), F.count("*").alias("c"))
+                 .filter("low != high").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks")))
+    packed = (held.drop("n").join(open_keys, "key")
+              .withColumn("band", F.col("key").bitwiseAND(F.lit(31)).cast("int"))
+              .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+              .join(sketch, ["rep", "band"])
+              .groupBy("key", "block")
+              .agg(F.collect_list(F.struct("rep", "n", "component", "bits")).alias("rows")))
+    packed = keep(packed)
+    left = packed.select("key", F.col("block").alias("i"), F.col("rows").alias("x"))
+    right = packed.select("key", F.col("block").alias("j"), F.col("rows").alias("y"))
+    more = keep(left.join(right, "key").filter("i <= j").select("x", "y")
+                .mapInArrow(block_task(percent), "u bigint, v bigint").distinct()
+                .join(pairs, ["u", "v"], "left_anti"))
+    labels = keep(components(links.unionByName(_verified(keep, rows, more, width, percent))))
 
     of_class = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n", "set_a", "set_b", F.coalesce("component", "rep").alias("of_class"))
