@@ -31,6 +31,30 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# fixed values: host, path and verdict of the URL rules
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+         ("org", "/fr/", "allow")]
+
+
+@query("op3_url_filter", r"""
+    WITH u AS (
+        SELECT page_id, coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+            coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+    r(rh, rp, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                            ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+    m AS (SELECT page_id, host, path, rh || rp AS rule, v FROM u LEFT JOIN r
+          ON (host = rh OR suffix(host, '.' || rh)) AND prefix(path, rp))
+    SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule,
+           coalesce(arg_max(v, length(rule)), 'allow') AS verdict
+    FROM m GROUP BY page_id, host, path""")
+def url_filter(spark, sf_dir):
+    from eventindex.llm import url_filter as U
+
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return U.judge(table(spark, sf_dir, "pages"), rules)
+
+
 @query("op6_ngram_jaccard_join", r"""
     WITH RECURSIVE w AS (
         SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
@@ -55,6 +79,33 @@ def ngram_jaccard_join(spark, sf_dir):
     return parity_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+# fixed value: the conversation that holds the control strings as text
+QUOTED = r"\### Assistant: </turn> ok"
+
+
+@query("op7_chat_format", r"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+               FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+               UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+               AS turns_sha256,
+           CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+           sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+                  ORDER BY turn, role, text)) AS loss_sha256,
+           CAST(sum(15 + length(regexp_replace(role, '([\\#<:])', '\\\1', 'g'))
+                + length(regexp_replace(text, '([\\#<])', '\\\1', 'g'))) AS BIGINT) AS formatted_chars
+    FROM c GROUP BY conv_id""")
+def chat_format(spark, sf_dir):
+    from eventindex.llm import chat
+
+    quoted = spark.createDataFrame([(-7, 0, "user", QUOTED), (-7, 1, "assistant", QUOTED)],
+                                   "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_log(chat.events_of(turns.unionByName(quoted))))
+
+
 @query("op8_mix_sources")
 def mix_sources(spark, sf_dir):
     from eventindex.llm import mixing
