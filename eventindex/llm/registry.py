@@ -31,6 +31,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_quality_classifier")
+def quality_classifier(spark, sf_dir):
+    from eventindex.llm import quality_knn as Q
+
+    docs = table(spark, sf_dir, "documents")
+    return Q.score(docs, Q.fit(docs, table(spark, sf_dir, "labels")))
+
+
 # fixed values: host, path and verdict of the URL rules
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
          ("org", "/fr/", "allow")]
