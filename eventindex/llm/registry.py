@@ -63,6 +63,15 @@ def url_filter(spark, sf_dir):
     return U.judge(table(spark, sf_dir, "pages"), rules)
 
 
+@query("op5_line_rules")
+def line_rules(spark, sf_dir):
+    from eventindex.llm import line_rules as L
+
+    return L.assess(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "lost_chars")
+
+
 @query("op6_ngram_jaccard_join", r"""
     WITH RECURSIVE w AS (
         SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
