@@ -31,6 +31,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_lm_score")
+def lm_score(spark, sf_dir):
+    from eventindex.llm import lm_score as L
+
+    return L.score(table(spark, sf_dir, "documents"))
+
+
 @query("op2_quality_classifier")
 def quality_classifier(spark, sf_dir):
     from eventindex.llm import quality_knn as Q
