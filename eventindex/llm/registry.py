@@ -70,6 +70,14 @@ def url_filter(spark, sf_dir):
     return U.judge(table(spark, sf_dir, "pages"), rules)
 
 
+@query("op4_html_extraction")
+def html_extraction(spark, sf_dir):
+    from eventindex.llm import html_crf as H
+
+    pages = table(spark, sf_dir, "pages")
+    return H.extract(pages, H.fit(pages))
+
+
 @query("op5_line_rules")
 def line_rules(spark, sf_dir):
     from eventindex.llm import line_rules as L
