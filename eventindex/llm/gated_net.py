@@ -133,7 +133,9 @@ def _pick(score: np.ndarray, target: np.ndarray):
 def lanes_of(docs: list[np.ndarray], lanes: int):
     """Documents dealt to lanes, the longest first to the shortest lane: (steps x lanes) arrays of
     token id, document number (-1: padding) and whether a document starts."""
-    lanes = max(1, min(lanes, len(docs)))
+    # no more lanes than the longest document can keep busy
+    longest = max(1, max(map(len, docs)))
+    lanes = max(1, min(lanes, len(docs), -(-sum(map(len, docs)) // longest)))
     load, plan = [(0, k) for k in range(lanes)], [[] for _ in range(lanes)]
     for d in sorted(range(len(docs)), key=lambda d: (-len(docs[d]), d)):
         n, k = heapq.heappop(load)
@@ -169,7 +171,7 @@ class Adam:
 
 
 def train(net: Net, docs: list[np.ndarray], classes: np.ndarray, inner: np.ndarray,
-          optimizer: Adam, lanes: int = 64) -> int:
+          optimizer: Adam, lanes: int = 256) -> int:
     """One pass over whole documents (token ids). Returns the number of tokens."""
     if not docs:
         return 0

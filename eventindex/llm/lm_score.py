@@ -38,8 +38,8 @@ HEAD, INNER, TAIL = 1_024, 64, 48
 HEAD_CLASSES = HEAD // INNER
 END = b"\n"             # no word holds white space
 FREQUENT = 1 << 18
-START_DOCS, START_PASSES, START_RATE, RATE = 384, 6, 0.02, 0.002
-CHUNK_TOKENS = 400_000
+START_DOCS, START_PASSES, START_RATE, RATE = 384, 4, 0.02, 0.004
+CHUNK_TOKENS = 800_000
 FOLDS, HELD_OUT = 7, 2
 SLICES, SALTS = 64, 32
 
@@ -117,7 +117,7 @@ def start_task(head: list[bytes]) -> Callable:
         for k in range(START_PASSES):
             optimizer.rate = START_RATE * (1 - k / (START_PASSES + 1))
             for docs in chunks:
-                train(net, docs, CLASS, PLACE, optimizer, lanes=16)
+                train(net, docs, CLASS, PLACE, optimizer, lanes=48)
         yield pa.RecordBatch.from_pydict({"flat": [net.flat.tobytes()]})
     return run
 
