@@ -15,8 +15,8 @@ message, never a conversation, however long it is. Messages are rendered as segm
 
     ### role: text </turn>\\n
 
-Inside roles and texts every `\\`, `#`, `<` and (roles only) `:` gets a backslash before it, so the
-control strings `###` and `</turn>` occur unescaped at turn borders only, and unescaping gives back
+Inside roles and texts every `\\`, `#`, `/` after `<`, and (roles only) `:` gets a backslash before
+it, so the control strings `###` and `</turn>` occur at turn borders only, and unescaping gives back
 every text. `loss_from` and `loss_chars` are the span of a segment under the loss mask: the escaped
 text of an assistant's message.
 
@@ -42,8 +42,9 @@ SEGMENT = ("conv_id bigint, position bigint, role string, segment string, loss_f
 DIGEST = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
           "loss_sha256 string, formatted_chars bigint")
 
-_TEXT, _ROLE, _ESCAPED = re.compile(r"[\\#<]"), re.compile(r"[\\#<:]"), re.compile(r"\\(.)", re.S)
-_SEGMENT = re.compile(r"### ((?:\\.|[^\\:])*): ((?:\\.|[^\\<])*) </turn>\n", re.S)
+_TEXT, _ROLE = re.compile(r"[\\#]|(?<=<)/"), re.compile(r"[\\#:]|(?<=<)/")
+_ESCAPED = re.compile(r"\\(.)", re.S)
+_SEGMENT = re.compile(r"### ((?:\\.|[^\\:])*): ((?:\\.|[^\\<]|<(?!/))*) </turn>\n", re.S)
 
 
 def escape(text: str) -> str:
