@@ -58,16 +58,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# odd factors of the places in a run of words
+PLACES = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+
+
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     """Sorted distinct hashes of all runs of `width` words; a shorter text is one run."""
     n = len(hashes)
     if n == 0:
         return hashes
     width_here = min(width, n)
+    # a sum with odd factors, one per place, finalised once
     runs = np.full(n - width_here + 1, width_here, np.uint64)
     for k in range(width_here):
-        runs = mix(runs * np.uint64(0x9E3779B97F4A7C15) + hashes[k:n - width_here + 1 + k])
-    return np.unique(runs)
+        runs += hashes[k:n - width_here + 1 + k] * PLACES[k]
+    runs = mix(runs)
+    runs.sort()
+    first = np.ones(len(runs), bool)
+    np.not_equal(runs[1:], runs[:-1], out=first[1:])
+    return runs[first]
 
 
 def rows_of(batch, *cols: str) -> Iterator[tuple]:
