@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from eventindex.functions.times import local_day, ns_to_ts
 
 # The name and path formats of the indexed tree.
-EVENT_NAME = r"^(?:optimized_)?(\d{19})_(\d+)_(\d+)"
+EVENT_NAME = r"^(?:optimized_)?(\d{19})_(\d+)_(\d+)$"
 DAY_PATH = r"/(\d{4})/(\d{1,2})/(\d{1,2})/([^/]+?)(?:\.[^/]*)?$"
 STEM = r"([^/]+?)(?:\.[^/]*)?$"
 

@@ -43,11 +43,18 @@ def days_between(start: Column, end: Column) -> Column:
 
 
 def range_condition(start: str, end: str, ts: str = "event_ts", day: str = "event_date") -> Column:
-    """Both ends included. The day bounds prune partitions, the instants decide."""
-    lo, hi = datetime.strptime(start, PY_FORMAT), datetime.strptime(end, PY_FORMAT)
+    """Both ends included, an empty text is an open end. The day bounds prune partitions, the
+    instants decide."""
+    day, ts = F.col(day), F.col(ts)
 
     def instant(t: datetime) -> Column:
         return F.to_utc_timestamp(F.lit(t.strftime(PY_FORMAT)).cast("timestamp"), ZONE)
 
-    return (F.col(day).between(F.lit(lo.date()), F.lit(hi.date()))
-            & F.col(ts).between(instant(lo), instant(hi)))
+    out = F.lit(True)
+    if start:
+        lo = datetime.strptime(start, PY_FORMAT)
+        out = out & (day >= F.lit(lo.date())) & (ts >= instant(lo))
+    if end:
+        hi = datetime.strptime(end, PY_FORMAT)
+        out = out & (day <= F.lit(hi.date())) & (ts <= instant(hi))
+    return out

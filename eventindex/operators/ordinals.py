@@ -10,10 +10,6 @@ from eventindex.session import materialise
 
 EVENT_ORDER = ("event_ts", "event_key")
 
-# Positions up to here are found by a distributed top-k, whose result is that small by
-# construction; beyond, the listing is range-sorted and numbered as a whole.
-TOP_K_LIMIT = 2_000
-
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition below this bit
 
 
@@ -72,13 +68,7 @@ def select_ordinals(df: DataFrame, spec: str, order_by=EVENT_ORDER,
     ranges = parse_ordinals(spec)
     if not ranges:
         return df.where(F.lit(False)).withColumn(name, F.lit(0).cast("bigint"))
-    last = ranges[-1][1]
-    if last <= TOP_K_LIMIT:
-        position = F.row_number().over(Window.orderBy(*order_by)).cast("bigint") - 1
-        listed = df.orderBy(*order_by).limit(last + 1).withColumn(name, position)
-    else:
-        listed = with_ordinals(df, order_by, name)
-    return listed.where(in_ranges(F.col(name), ranges))
+    return with_ordinals(df, order_by, name).where(in_ranges(F.col(name), ranges))
 
 
 def slice_rows(df: DataFrame, start: int, stop: int, order_by=EVENT_ORDER) -> DataFrame:

@@ -10,7 +10,7 @@ from eventindex.operators.cuts import all_pass, any_cut_name, cut_aggregates, pa
 from eventindex.operators.dictionaries import matched_names
 from eventindex.operators.frames import prepare_frames
 from eventindex.operators.groups import anchor_events, group_metadata, group_values
-from eventindex.operators.ordinals import parse_ordinals, select_ordinals
+from eventindex.operators.ordinals import select_ordinals
 from eventindex.operators.payload import attach_payload, missing_payload
 from eventindex.operators.select import EVENT, name_condition, pivot_columns, time_range
 from eventindex.operators.shortlist import keep_operating, shortlist, with_facts
@@ -20,8 +20,6 @@ from eventindex.sources.containers import payload_rows, read_decoded
 from eventindex.sources.dictionaries import read_dictionaries
 from eventindex.sources.index import read_leaf
 
-MAX_COLUMNS = 10_000  # a table wider than this is an error, not a shortened table
-
 
 def event_path(root: str, extension: str = "h5") -> Column:
     """Path of an event's container file, from its day and key alone."""
@@ -30,10 +28,11 @@ def event_path(root: str, extension: str = "h5") -> Column:
 
 
 class EventIndex:
-    """An index and its dictionaries. All loaders return lazy DataFrames.
+    """An index and its dictionaries. Loaders return lazy DataFrames; only `events` positions
+    number the listing at once, in the shared folder.
 
     Only the list of dataset names to load is collected, as it becomes the columns of the
-    result; names beyond MAX_COLUMNS raise.
+    result.
     """
 
     def __init__(self, events: DataFrame, leaf: DataFrame, names: DataFrame,
@@ -57,20 +56,19 @@ class EventIndex:
 
     def resolve(self, keywords: str = "", comment: str = "", pick: str | None = None) -> list[str]:
         """Names to load: all found, or those at the picked positions in name order."""
-        rows = (self.find(keywords, comment).orderBy("dataset_name")
-                .limit(MAX_COLUMNS + 1).collect())
-        if len(rows) > MAX_COLUMNS:
-            raise ValueError(f"more than {MAX_COLUMNS} datasets match; narrow the keywords")
-        found = [r["dataset_name"] for r in rows]
-        if pick is None:
-            return found
-        return [found[i] for lo, hi in parse_ordinals(pick)
-                for i in range(lo, min(hi, len(found) - 1) + 1)]
+        return [r["dataset_name"] for r in self._found(keywords, comment, pick).collect()]
+
+    def _found(self, keywords: str, comment: str, pick: str | None) -> DataFrame:
+        found = self.find(keywords, comment).select("dataset_name")
+        if pick is not None:
+            found = select_ordinals(found, pick, ("dataset_name",)).drop("ordinal")
+        return found.orderBy("dataset_name")
 
     def _resolve_one(self, keywords: str, comment: str, pick: str | None) -> str | None:
-        found = self.resolve(keywords, comment, pick)
+        found = [r["dataset_name"] for r in self._found(keywords, comment, pick).limit(2).collect()]
         if len(found) > 1:
-            raise ValueError("several datasets match, pick one by position: " + ", ".join(found))
+            raise ValueError("several datasets match, pick one by position: "
+                             + ", ".join(found) + ", ...")
         return found[0] if found else None
 
     def listing(self, start: str, end: str) -> DataFrame:
@@ -87,11 +85,15 @@ class EventIndex:
 
     def load_column(self, keywords: str = "", comment: str = "", start: str = "", end: str = "",
                     cuts: str = "", datasets: str | None = None, events: str | None = None,
-                    numeric: bool = False) -> DataFrame:
+                    numeric: bool = False, max_columns: int = 10_000) -> DataFrame:
         """One row per event: time, one column per dataset, file path. Cuts and columns are
         taken in the same aggregation, so the leaf rows are shuffled once. `numeric` loads the
-        numbers instead of the stored text."""
-        names = self.resolve(keywords, comment, datasets)
+        numbers instead of the stored text. A table wider than `max_columns` is an error, not a
+        shortened table."""
+        names = [r["dataset_name"] for r in self._found(keywords, comment, datasets)
+                 .limit(max_columns + 1).collect()]
+        if len(names) > max_columns:
+            raise ValueError(f"more than {max_columns} columns; pick some, or raise max_columns")
         return self.load_named(dict(zip(names, names)), start, end, cuts, events, numeric)
 
     def load_named(self, names: dict[str, str], start: str, end: str, cuts: str = "",
@@ -133,8 +135,11 @@ class EventIndex:
 
     def _arrays(self, name: str | None, start: str, end: str) -> DataFrame:
         """Payload in the days of the range; of the dataset's group only, where that is known."""
-        days = self.payload.where(F.col("event_date").between(
-            F.lit(start[:10]).cast("date"), F.lit(end[:10]).cast("date")))
+        days = self.payload
+        if start:
+            days = days.where(F.col("event_date") >= F.lit(start[:10]).cast("date"))
+        if end:
+            days = days.where(F.col("event_date") <= F.lit(end[:10]).cast("date"))
         if name is None or self.match != "equals":
             return days
         return days.where(F.col("dataset_name").startswith(parent_group(name).rstrip("/") + "/"))

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from eventindex.operators.dictionaries import (comment_dictionary, constant_values,
                                                distinct_names, merge_comments, merge_names,
                                                number_constants)
-from eventindex.session import configure
+from eventindex.session import configure, materialise
 from eventindex.sources.containers import (Decoder, decode_files, leaf_rows, read_decoded,
                                            undecodable, write_decoded)
 from eventindex.sources.dictionaries import Dictionaries, read_dictionaries, write_dictionaries
@@ -21,8 +21,10 @@ def build_index(spark: SparkSession, root: str, out: str, decoder: Decoder,
     """Index every event file below root. Files are decoded once, into `decoded`, of which the
     array payload is one partition; all further tables are made from its other columns.
 
-    `merge_with` is an older index whose names and comments are carried over; constants are
-    recomputed from the new leaves, as new data can end a value's constancy.
+    Days below root replace those days of an index already at `out`, in every table; its other
+    days stay, and the dictionaries are made from all days. A day indexed anew without arrays
+    keeps its earlier arrays. `merge_with` is an older index whose names and comments are carried
+    over; constants are those of the leaves at `out`.
     """
     configure(spark)
     files = binary_files(spark, root, extension)
@@ -30,8 +32,11 @@ def build_index(spark: SparkSession, root: str, out: str, decoder: Decoder,
     write_decoded(decode_files(files, decoder, arrays), f"{out}/decoded")
     decoded = read_decoded(spark, f"{out}/decoded")
 
-    events_of(listing).write.mode("overwrite").partitionBy("event_date").parquet(f"{out}/events")
-    write_leaf(leaf_rows(decoded), f"{out}/leaf", attrs=attrs)
+    events = events_of(listing)
+    (events.write.mode("overwrite").partitionBy("event_date")
+     .option("partitionOverwriteMode", "dynamic").parquet(f"{out}/events"))
+    days = events.select("event_date").distinct()
+    write_leaf(leaf_rows(decoded.join(days, "event_date", "left_semi")), f"{out}/leaf", attrs=attrs)
     rejected_names(listing).write.mode("overwrite").parquet(f"{out}/rejected_names")
     undecodable(decoded).write.mode("overwrite").parquet(f"{out}/undecodable")
 
@@ -39,6 +44,8 @@ def build_index(spark: SparkSession, root: str, out: str, decoder: Decoder,
     names, comments = distinct_names(leaf), comment_dictionary(leaf)
     if merge_with:
         old = read_dictionaries(spark, f"{merge_with}/dictionaries")
-        names, comments = merge_names(old.names, names), merge_comments(old.comments, comments)
+        # computed before anything is overwritten, for the older index may be this one
+        names = materialise(merge_names(old.names, names))
+        comments = materialise(merge_comments(old.comments, comments))
     constants = number_constants(constant_values(leaf))
     write_dictionaries(Dictionaries(names, comments, constants), f"{out}/dictionaries")

@@ -63,7 +63,8 @@ def decode_json(content: bytes, arrays: bool) -> Iterator[Entry]:
                 shape = [len(flat), len(flat[0])]
                 flat = [x for row in flat for x in row]
             kind = dtype(flat[0]) if flat else "float64"
-            numbers = arrays and len(flat) != 1 and kind in ("int64", "float64")
+            numbers = (arrays and len(flat) != 1
+                       and all(dtype(x) in ("int64", "float64") for x in flat))
             text = None if len(flat) != 1 else str(flat[0])
             yield Entry(name, path, attrs, {}, text, shape, kind,
                         [float(x) for x in flat] if numbers else None)
@@ -106,7 +107,9 @@ def decode_files(files: DataFrame, decoder: Decoder, arrays: bool = False) -> Da
                 try:
                     entries = [(path, None, *entry, seq)
                                for seq, entry in enumerate(decoder(bytes(content), arrays))]
-                except Exception as problem:  # any decoder error concerns this file only
+                except (ImportError, MemoryError):  # concerns the job, not this file
+                    raise
+                except Exception as problem:  # any other decoder error concerns this file only
                     entries = [(path, repr(problem), *[None] * len(Entry._fields), None)]
                 rows.extend(entries)
                 if arrays or len(rows) >= _ROWS_PER_FRAME:
@@ -124,11 +127,12 @@ def write_decoded(decoded: DataFrame, path: str) -> None:
     """Store decoded rows, arrays apart from the rest and by day. The arrays are the bulk of an
     index and are written here once; no later step copies them. A sort inside each task, without
     a shuffle, brings the arrays of one dataset together, and small row groups, closed after few
-    of the large rows, let a scan for one dataset skip the others."""
+    of the large rows, let a scan for one dataset skip the others. Days that are present are
+    replaced, other days stay, as for all tables of an index that have days."""
     order = ["has_data", "event_date", "dataset_name", "event_key"]
     (decoded.sortWithinPartitions(*order)
      .write.mode("overwrite").partitionBy("has_data", "event_date")
-     .option("partitionOverwriteMode", "static")
+     .option("partitionOverwriteMode", "dynamic")
      .option("parquet.block.size", 32 << 20)
      .option("parquet.page.size.row.check.min", 4)
      .parquet(path))

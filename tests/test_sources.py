@@ -300,3 +300,31 @@ def test_row_groups_hold_few_datasets(spark):
     assert sum(s.min != s.max for s in stats) <= 1
     got = SC.payload_rows(SC.read_decoded(spark, path)).where("dataset_name LIKE '/cam2%'")
     assert got.selectExpr("sum(size(data))").head()[0] == 80 * 100_000
+
+
+def test_later_days_leave_earlier_ones(spark, tmp_path):
+    out = new_path(spark, "days")
+    for d in (13, 14):
+        day = tmp_path / f"root{d}" / "2018" / "05" / str(d)
+        day.mkdir(parents=True)
+        (day / f"{NS + (d - 13) * 24 * HOUR}_1_1.h5").write_text(json.dumps({"a": {"x": d, "y": [1, 2]}}))
+        build_index(spark, str(tmp_path / f"root{d}"), out, SC.decode_json)
+    build_index(spark, str(tmp_path / "root14"), out, SC.decode_json)
+    ix = EventIndex.open(spark, out)
+    assert ix.events.count() == 2 and ix.leaf.count() == 4 and ix.payload.count() == 2
+    stored = SD.read_dictionaries(spark, f"{out}/dictionaries")
+    assert "/a/x" not in [r.dataset_name for r in stored.constants.collect()]
+    assert ix.load_column("x").count() == 2
+
+
+def test_missing_decoder_module_stops_the_job(spark, tree):
+    def decoder(content, arrays):
+        raise ImportError("no such module")
+
+    with pytest.raises(Exception, match="no such module"):
+        SC.decode_files(SF.binary_files(spark, tree), decoder).count()
+
+
+def test_suffixed_names_are_no_events(spark):
+    names = spark.createDataFrame([(f"/a/{NS}_1_1.h5",), (f"/a/{NS}_1_1_copy.h5",)], "path string")
+    assert SF.events_of(names).count() == 1 and SF.rejected_names(names).count() == 1
