@@ -45,7 +45,10 @@ def test_matches_sql(spark, con, key):
 
 
 def test_driver_contract(spark):
-    assert set(driver.oracle_sql()) <= set(driver.queries()) == set(ENTRIES)
+    assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(ENTRIES) <= set(driver.queries())
+    if driver.llm is None and driver.corpus_pipeline is None:
+        assert set(ENTRIES) == set(driver.queries())
     assert driver.entry(spark).count() > 0
 
 
