@@ -59,13 +59,17 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns; one row for repeated ids and texts."""
-    kept = classify(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
+    def key(doc_id, digest):
+        return F.concat_ws(":", digest, F.coalesce(F.col(doc_id).cast("string"), F.lit("-")))
+
+    # the size is asked for, so that two texts under one digest stop this job as well
+    kept = (classify(docs, id_col, text_col).filter("kept AND group_size > 0")
+            .select(key("doc_id", F.col("text_sha256")).alias("_key")))
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("bigint").alias("_id"),
-                       F.sha2(text_or_empty(text_col), 256).alias("_digest"))
-    same = (F.col("r._digest") == F.col("k._digest")) & F.col("r._id").eqNullSafe(F.col("k._id"))
-    staying = rows.alias("r").join(kept.alias("k"), same, "left_semi")
-    # a rank limit of one is applied before the shuffle as well, so repeated rows cannot pile up
-    first = Window.partitionBy("_digest", "_id").orderBy(F.xxhash64("_row"))
-    return (staying.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
-            .select("_row.*"))
+                       F.sha2(text_or_empty(text_col), 256).alias("_digest")).select(
+        "_row", key("_id", F.col("_digest")).alias("_key"))
+    # a rank limit of one is applied before the shuffle as well, so repeated rows cannot pile up; the
+    # join uses the same key and needs no further shuffle of the rows
+    first = Window.partitionBy("_key").orderBy(F.xxhash64("_row"))
+    return (rows.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+            .join(kept, "_key", "left_semi").select("_row.*"))

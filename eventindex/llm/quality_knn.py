@@ -12,7 +12,7 @@ Inputs of a score are the text only. Labels are learnt from rows outside the hel
 sample takes the smallest hashes of ids, so reruns agree.
 
 Defined results: null text counts as empty and is scored like any text (by its length class); null
-labels teach nothing; labels repeated for an id count once each; a document whose vector is zero,
+labels teach nothing; of labels repeated for an id the largest counts, and of texts the smallest; a document whose vector is zero,
 and every document if there are no labels, gets the share of label 1 in the sample (0.5 without
 labels); a null id is not held out; repeated rows each give a row; an empty table gives
 an empty result. Extra columns are ignored by the score, whatever their names.
@@ -97,6 +97,19 @@ def unit(v: np.ndarray) -> np.ndarray:
     return np.where(norm > 1e-6, v / np.maximum(norm, 1e-9), 0).astype(np.float32)
 
 
+def leading_axes(y: np.ndarray, count: int, rounds: int = 24) -> np.ndarray:
+    """The leading eigenvectors of y'y by subspace iteration: the product itself, TERMS x TERMS, is
+    never formed. A few more axes than asked for make the last ones settle."""
+    width = min(y.shape[1], count + 16)
+    basis = np.linalg.qr(np.random.default_rng(0).standard_normal((y.shape[1], width)))[0].astype(np.float32)
+    for _ in range(rounds):
+        basis = np.linalg.qr(y.T @ (y @ basis))[0]
+    inner = y @ basis
+    _, turn = np.linalg.eigh((inner.T @ inner).astype(np.float64))
+    axes = basis @ turn[:, ::-1][:, :count].astype(np.float32)
+    return axes * np.sign(axes[np.abs(axes).argmax(0), np.arange(axes.shape[1])])
+
+
 def fit_arrays(x: np.ndarray, labels: np.ndarray) -> Model:
     n = len(x)
     if n == 0:
@@ -104,9 +117,7 @@ def fit_arrays(x: np.ndarray, labels: np.ndarray) -> Model:
                      np.zeros((0, AXES), np.float32), labels, 0.5)
     idf = np.log((1 + n) / (1 + (x > 0).sum(0))).astype(np.float32) + 1
     y = weigh(x, idf)
-    _, axes = np.linalg.eigh(y.T @ y)
-    axes = axes[:, ::-1][:, :AXES]
-    axes = (axes * np.sign(axes[np.abs(axes).argmax(0), np.arange(axes.shape[1])])).astype(np.float32)
+    axes = leading_axes(y, AXES)
     return Model(idf, axes, unit(y @ axes), labels, float(labels.mean()))
 
 
@@ -124,18 +135,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         cache = HashCache()
         for batch in batches:
             for doc, text, y in rows_of(batch, "doc_id", "text", "y"):
+                x = terms(text, cache)
+                at = np.flatnonzero(x).astype(np.uint16)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array([doc], pa.int64()), "y": pa.array([y], pa.int32()),
-                    "x": pa.array([terms(text, cache).tobytes()], pa.binary())})
+                    "at": pa.array([at.tobytes()], pa.binary()),
+                    "x": pa.array([x[at].tobytes()], pa.binary())})
 
-    rows = (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    # one text for each id, so that the driver gets `sample` rows at most, each of its non-zero terms
+    rows = (docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
+                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
             .join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
-            .select("doc_id", F.col("text").cast("string"), F.col("_y").alias("y"))
-            .mapInArrow(task, "doc_id bigint, y int, x binary").collect())
-    # ids are cut to `sample` before the join; an id that several rows share may bring more
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["x"]))
-    x = np.frombuffer(b"".join(r["x"] for r in rows), np.float32).reshape(len(rows), TERMS)
-    return fit_arrays(x.copy(), np.array([r["y"] for r in rows], np.float32))
+            .groupBy("doc_id", F.col("_y").alias("y")).agg(F.min("text").alias("text"))
+            .mapInArrow(task, "doc_id bigint, y int, at binary, x binary")
+            .toArrow().sort_by("doc_id"))
+    x = np.zeros((rows.num_rows, TERMS), np.float32)
+    for i, (at, values) in enumerate(zip(rows.column("at"), rows.column("x"))):
+        x[i, np.frombuffer(at.as_py(), np.uint16)] = np.frombuffer(values.as_py(), np.float32)
+    labels = rows.column("y").to_numpy().astype(np.float32)
+    del rows
+    return fit_arrays(x, labels)
 
 
 def vote(x: np.ndarray, model: Model) -> np.ndarray:
