@@ -17,8 +17,9 @@ Buckets are not expanded into all pairs. Equal sets are one class. First every m
 compared with the bucket's smallest id, and links join components. A bucket whose members are now
 all in one component is done, for a further link in it would join nothing. Members of the others
 are packed into blocks, and blocks of one bucket are compared by the Hamming distance of a bit
-sketch as long as the set (numpy, all against all inside the task); only pairs of different
-components that pass it become rows. Every candidate pair is verified on the whole sets.
+sketch as long as the set (numpy, all against all inside the task). What becomes rows is not the
+pairs that pass but the clusters they form; the sets of a cluster meet in one task, which compares
+them exactly and returns a forest of links between components.
 
 Defined results: a null or wordless text is an empty set, linked with nothing, its own component;
 rows that share an id are one document (their texts all link it); a null id takes the component of
@@ -42,6 +43,7 @@ WIDTH = 4
 SAMPLE = 2_048      # documents that tell which elements are common (ordering only)
 COMMON = 65_536     # at most so many common elements are broadcast
 BLOCK = 256         # members of a bucket that are compared as one block
+BLOCK_ELEMENTS = 1 << 20    # elements of their sets together
 
 
 def max_difference(total: int, percent: int = PERCENT) -> int:
@@ -152,8 +154,24 @@ def hamming_task(percent: int) -> Callable:
     return run
 
 
+class Forest(dict):
+    """Union-find: the root of a node is the smallest of its tree."""
+
+    def find(self, x: int) -> int:
+        while (up := self.setdefault(x, x)) != x:
+            self[x] = self[up]
+            x = up
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self[max(x, y)] = min(x, y)
+        return x != y
+
+
 def block_task(percent: int) -> Callable:
-    """Pairs of blocks to the pairs of members in different components that may be similar."""
+    """Pairs of blocks to clusters: members of different components that may be similar, directly or
+    by a chain of such pairs. A pair of blocks gives each of its members in one cluster at most."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -166,18 +184,51 @@ def block_task(percent: int) -> Callable:
             for left, right in rows_of(batch, "x", "y"):
                 ids, n, comp, bits = arrays(left)
                 ids2, n2, comp2, bits2 = arrays(right)
+                forest = Forest()
                 for i in range(len(ids)):
                     total, least = n[i] + n2, np.minimum(n[i], n2)
-                    near = ((comp2 != comp[i])
-                            & (100 * least >= percent * (total - least)))
-                    if not near.any():
-                        continue
-                    k = np.flatnonzero(near)
-                    far = np.bitwise_count(bits2[k] ^ bits[i]).sum(1, dtype=np.int64)
-                    k = k[far <= (100 - percent) * total[k] // (100 + percent)]
+                    k = np.flatnonzero((comp2 != comp[i]) & (100 * least >= percent * (total - least)))
                     if len(k):
-                        u, v = np.minimum(ids[i], ids2[k]), np.maximum(ids[i], ids2[k])
-                        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                        far = np.bitwise_count(bits2[k] ^ bits[i]).sum(1, dtype=np.int64)
+                        k = k[far <= (100 - percent) * total[k] // (100 + percent)]
+                    for v in ids2[k].tolist():
+                        forest.join(int(ids[i]), v)
+                clusters: dict[int, list[int]] = {}
+                for x in sorted(forest):
+                    clusters.setdefault(forest.find(x), []).append(x)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(clusters.values()), pa.list_(pa.int64()))], ["reps"])
+    return run
+
+
+def cluster_task(percent: int) -> Callable:
+    """Clusters with the sets of their members to the links that join components: a forest, so a
+    cluster gives fewer links than it has members. All members of a cluster are compared exactly, by
+    counting their common elements over an index of the cluster's elements."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for (rows,) in rows_of(batch, "rows"):
+                sets = [np.frombuffer(r["elements"], np.uint64) for r in rows]
+                sizes = np.array([len(x) for x in sets])
+                ends = np.cumsum(sizes)
+                _, element = np.unique(np.concatenate(sets), return_inverse=True)
+                owner = np.repeat(np.arange(len(sets)), sizes)[np.argsort(element, kind="stable")]
+                first = np.concatenate([[0], np.cumsum(np.bincount(element))])
+                forest, links = Forest(), []
+                for r in rows:
+                    forest.join(r["rep"], r["component"])
+                for i in range(1, len(sets)):
+                    mine = element[ends[i] - sizes[i]:ends[i]]
+                    held = np.concatenate([owner[first[e]:first[e + 1]] for e in mine])
+                    both = np.bincount(held, minlength=len(sets))[:i]
+                    near = np.flatnonzero(100 * both >= percent * (sizes[:i] + sizes[i] - both))
+                    for j in near.tolist():
+                        if forest.join(rows[i]["rep"], rows[j]["rep"]):
+                            links.append((rows[i]["rep"], rows[j]["rep"]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([pair(x) for x in links], pa.int64()) for pair in (min, max)], ["u", "v"])
     return run
 
 
@@ -266,22 +317,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # buckets that still hold several components, in blocks
     held = (members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
             .withColumn("component", F.coalesce("component", "rep")))
-    open_keys = (held.groupBy("key").agg(F.min("component").alias("low"),
-                                         F.max("component").alias("high"), F.count("*").alias("c"))
-                 .filter("low != high").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks")))
+    blocks = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("elements") / BLOCK_ELEMENTS))
+    open_keys = (held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                         F.count("*").alias("c"), F.sum("n").alias("elements"))
+                 .filter("low != high").select("key", blocks.alias("blocks")))
     packed = (held.drop("n").join(open_keys, "key")
               .withColumn("band", F.col("key").bitwiseAND(F.lit(31)).cast("int"))
               .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
               .join(sketch, ["rep", "band"])
               .groupBy("key", "block")
-              .agg(F.collect_list(F.struct("rep", "n", "component", "bits")).alias("rows")))
-    packed = keep(packed)
+              .agg(F.array_sort(F.collect_list(F.struct("rep", "n", "component", "bits"))).alias("rows")))
+    # many buckets hold the same members: one of them is enough
+    packed = keep(packed.withColumn("same", F.xxhash64("rows.rep")))
+    several = packed.filter("block > 0").select("key").distinct()
+    once = (packed.join(several, "key", "left_anti").groupBy("same", "rows.rep")
+            .agg(F.min("key").alias("key")).select("key"))
+    packed = packed.join(once.unionByName(several), "key", "left_semi")
     left = packed.select("key", F.col("block").alias("i"), F.col("rows").alias("x"))
     right = packed.select("key", F.col("block").alias("j"), F.col("rows").alias("y"))
-    more = keep(left.join(right, "key").filter("i <= j").select("x", "y")
-                .mapInArrow(block_task(percent), "u bigint, v bigint").distinct()
-                .join(pairs, ["u", "v"], "left_anti"))
-    labels = keep(components(links.unionByName(_verified(keep, rows, more, width, percent))))
+    clusters = keep(left.join(right, "key").filter("i <= j").select("x", "y")
+                    .mapInArrow(block_task(percent), "reps array<bigint>").distinct()
+                    .withColumn("cluster", F.monotonically_increasing_id()))
+    of = clusters.select("cluster", F.explode("reps").alias("rep"))
+    sets = keep(rows.join(of.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                .mapInArrow(set_task(width, False), "doc_id bigint, elements binary"))
+    full = (of.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+            .join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+            .groupBy("cluster").agg(F.collect_list(F.struct(
+                "rep", F.coalesce("component", "rep").alias("component"), "elements")).alias("rows")))
+    more = keep(full.select("rows").mapInArrow(cluster_task(percent), "u bigint, v bigint").distinct())
+    labels = keep(components(links.unionByName(more)))
 
     of_class = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n", "set_a", "set_b", F.coalesce("component", "rep").alias("of_class"))
