@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from eventindex.operators.constants import constant_state, constants_of
 from eventindex.operators.ordinals import with_ordinals
 
 
@@ -20,18 +21,10 @@ def comment_dictionary(rows: DataFrame, order: tuple[str, ...] = ("event_ts", "e
                  .alias("dataset_name")))
 
 
-def constant_values(leaf: DataFrame, order: tuple[str, ...] = ("event_ts", "event_key", "seq"),
-                    min_rows: int = 1, scalars_only: bool = False) -> DataFrame:
+def constant_values(leaf: DataFrame, min_rows: int = 1, scalars_only: bool = False) -> DataFrame:
     """Datasets with one and the same value wherever they occur, with the group, shape and
     dtype of their first row. A missing value counts as the empty text."""
-    rows = leaf.where("size = 1") if scalars_only else leaf
-    value = F.coalesce("value", F.lit(""))
-    first = F.min_by(F.struct("group_name", "shape", "dtype"), F.struct(*order))
-    return (rows.groupBy("dataset_name")
-            .agg(F.min(value).alias("value"), F.max(value).alias("_max"),
-                 F.count("*").alias("_n"), first.alias("_first"))
-            .where((F.col("value") == F.col("_max")) & (F.col("_n") >= min_rows))
-            .select("dataset_name", "_first.group_name", "value", "_first.shape", "_first.dtype"))
+    return constants_of(constant_state(leaf, scalars_only), min_rows)
 
 
 def number_constants(constants: DataFrame) -> DataFrame:

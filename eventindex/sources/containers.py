@@ -6,8 +6,10 @@ Spark lists, splits and shuffles the files; a decoder turns the bytes of one fil
 
 from __future__ import annotations
 
+import inspect
 import io
 import json
+import re
 from collections.abc import Callable, Iterator
 from typing import Any, NamedTuple
 
@@ -30,7 +32,17 @@ class Entry(NamedTuple):
     data: Any                 # flat numbers of a larger dataset, when asked for
 
 
-Decoder = Callable[[bytes, bool], Iterator[Entry]]
+class Fault(NamedTuple):
+    """A dataset that cannot be read; the others of its container are kept."""
+    dataset_name: str
+    error: str
+
+
+# Bytes, whether to read arrays, and (optionally) which dataset names to read. Entries come in walk
+# order; a decoder that is asked for some names yields None in place of each other dataset, so
+# that positions stay the same.
+Decoder = Callable[..., Iterator[Entry | Fault | None]]
+Wanted = Callable[[str], bool]
 
 _DECODED = ("path string, error string, dataset_name string, group_name string,"
             "group_attrs map<string,string>, attrs map<string,string>, text string,"
@@ -40,40 +52,72 @@ DECODED = (_DECODED + ", event_key string, event_ns bigint, event_ts timestamp,
            "n2 bigint, has_data boolean, event_date date")
 _COLUMNS = ["path", "error", *Entry._fields, "seq"]
 _ROWS_PER_FRAME = 5_000
-
-
-def decode_json(content: bytes, arrays: bool) -> Iterator[Entry]:
-    """JSON containers: objects are groups, their "@" member holds attributes, all else is a
-    dataset."""
-    def dtype(x) -> str:
-        return ("bool" if isinstance(x, bool) else "int64" if isinstance(x, int)
-                else "float64" if isinstance(x, float) else "object")
-
-    def walk(group: dict, path: str) -> Iterator[Entry]:
+_FILES_PER_TASK, _BYTES_PER_TASK = 64, 128 << 20
+
+
+def _dtype(x) -> str:
+    return ("bool" if isinstance(x, bool) else "int64" if isinstance(x, int)
+            else "float64" if isinstance(x, float) else "object")
+
+
+def _json_dataset(name: str, group: str, attrs: dict, item, arrays: bool) -> Entry:
+    flat, shape = (item, [len(item)]) if isinstance(item, list) else ([item], [1])
+    if flat and isinstance(flat[0], list):
+        shape = [len(flat), len(flat[0])]
+        if any(not isinstance(row, list) or len(row) != shape[1] for row in flat):
+            raise ValueError("rows of different length")
+        flat = [x for row in flat for x in row]
+    kinds = {_dtype(x) for x in flat}
+    kind = _dtype(flat[0]) if flat else "float64"
+    text = None if len(flat) != 1 else str(flat[0])
+    numbers = arrays and len(flat) != 1 and kinds <= {"int64", "float64"}
+    return Entry(name, group, attrs, {}, text, shape, kind, [float(x) for x in flat] if numbers else None)
+
+
+def decode_json(content: bytes, arrays: bool, wanted: Wanted | None = None) -> Iterator[Entry | Fault | None]:
+    """JSON containers: objects are groups, their "@" member holds attributes, an object with a
+    "@link" member alone stands for what lies at that path, all else is a dataset. A link is walked
+    under its own name; one that leads nowhere, or back into a group it lies in, is a fault."""
+    root = json.loads(content)
+
+    def target(path: str):
+        found, seen = root, set()
+        for key in [k for k in path.split("/") if k]:
+            found = found[key]
+            while isinstance(found, dict) and set(found) == {"@link"}:
+                if found["@link"] in seen:
+                    raise ValueError("links in a circle")
+                seen.add(found["@link"])
+                found = target(found["@link"])
+        return found
+
+    def walk(group: dict, path: str, inside: tuple[int, ...]) -> Iterator[Entry | Fault | None]:
         attrs = {k: str(v) for k, v in group.get("@", {}).items()}
         for key, item in group.items():
             name = f"{path.rstrip('/')}/{key}"
             if key == "@":
                 continue
-            if isinstance(item, dict):
-                yield from walk(item, name)
-                continue
-            flat, shape = (item, [len(item)]) if isinstance(item, list) else ([item], [1])
-            if flat and isinstance(flat[0], list):
-                shape = [len(flat), len(flat[0])]
-                flat = [x for row in flat for x in row]
-            kind = dtype(flat[0]) if flat else "float64"
-            numbers = (arrays and len(flat) != 1
-                       and all(dtype(x) in ("int64", "float64") for x in flat))
-            text = None if len(flat) != 1 else str(flat[0])
-            yield Entry(name, path, attrs, {}, text, shape, kind,
-                        [float(x) for x in flat] if numbers else None)
-
-    yield from walk(json.loads(content), "/")
-
-
-def decode_hdf5(content: bytes, arrays: bool) -> Iterator[Entry]:
-    """HDF5 containers; needs h5py on the executors."""
+            try:
+                if isinstance(item, dict) and set(item) == {"@link"}:
+                    item = target(item["@link"])
+                if isinstance(item, dict):
+                    if id(item) in inside:
+                        raise ValueError("link into a group around it")
+                    yield from walk(item, name, (*inside, id(item)))
+                elif wanted is None or wanted(name):
+                    yield _json_dataset(name, path, attrs, item, arrays)
+                else:
+                    yield None
+            except (LookupError, TypeError, ValueError, RecursionError) as problem:
+                yield Fault(name, repr(problem))
+
+    yield from walk(root, "/", (id(root),))
+
+
+def decode_hdf5(content: bytes, arrays: bool, wanted: Wanted | None = None) -> Iterator[Entry | Fault | None]:
+    """HDF5 containers; needs h5py on the executors. Groups are walked by key, so soft and external
+    links are followed and what lies behind them is found under the link's own name. A link that
+    leads nowhere, or back into a group it lies in, and a dataset that cannot be read are faults."""
     import h5py
 
     def text_of(x) -> str:
@@ -82,36 +126,62 @@ def decode_hdf5(content: bytes, arrays: bool) -> Iterator[Entry]:
     def attrs_of(node) -> dict[str, str]:
         return {k: text_of(v) for k, v in node.attrs.items()}
 
+    def dataset(node, name: str, group: str, attrs: dict) -> Entry:
+        one = node.size == 1
+        values = node[()] if one or (arrays and node.dtype.kind in "iuf") else None
+        return Entry(name, group, attrs, attrs_of(node),
+                     text_of(values.flat[0] if node.shape else values) if one else None,
+                     list(node.shape), node.dtype.str if node.dtype.kind == "S" else str(node.dtype),
+                     None if one or values is None else values.ravel().astype("float64"))
+
+    def walk(group, path: str, inside: list) -> Iterator[Entry | Fault | None]:
+        attrs = attrs_of(group)
+        for key in group.keys():
+            name = f"{path.rstrip('/')}/{key}"
+            try:
+                node = group[key]
+                if isinstance(node, h5py.Dataset):
+                    yield dataset(node, name, path, attrs) if wanted is None or wanted(name) else None
+                elif any(node == around for around in inside):
+                    raise ValueError("link into a group around it")
+                else:
+                    yield from walk(node, name, [*inside, node])
+            except (LookupError, OSError, RuntimeError, TypeError, ValueError) as problem:
+                yield Fault(name, repr(problem))
+
     with h5py.File(io.BytesIO(content), "r") as root:
-        found: list = []
-        root.visititems(lambda _, node: found.append(node) and None)
-        for node in found:
-            if not isinstance(node, h5py.Dataset):
-                continue
-            one = node.size == 1
-            values = node[()] if one or (arrays and node.dtype.kind in "iuf") else None
-            yield Entry(node.name, node.parent.name, attrs_of(node.parent), attrs_of(node),
-                        text_of(values.flat[0] if node.shape else values) if one else None,
-                        list(node.shape), node.dtype.str if node.dtype.kind == "S"
-                        else str(node.dtype),
-                        None if one or values is None else values.ravel().astype("float64"))
+        yield from walk(root, "/", [root])
+
+
+def decoded_rows(decoder: Decoder, path: str, content: bytes, arrays: bool,
+                 wanted: Wanted | None = None) -> list[tuple]:
+    """Rows of one file in walk order: its datasets, a row with `error` for each fault, and a single
+    one without a dataset if the file cannot be decoded at all."""
+    nothing = [None] * len(Entry._fields)
+    rows: list[tuple] = []
+    try:
+        takes_names = len(inspect.signature(decoder).parameters) > 2
+        found = decoder(content, arrays, wanted) if takes_names else decoder(content, arrays)
+        for seq, entry in enumerate(found):
+            if isinstance(entry, Fault):
+                rows.append((path, entry.error, entry.dataset_name, *nothing[1:], seq))
+            elif entry is not None and (wanted is None or wanted(entry.dataset_name)):
+                rows.append((path, None, *entry, seq))
+    except (ImportError, MemoryError):  # concerns the job, not this file
+        raise
+    except Exception as problem:  # any other decoder error concerns this file only
+        rows = [(path, repr(problem), *nothing, None)]
+    return rows
 
 
 def decode_files(files: DataFrame, decoder: Decoder, arrays: bool = False) -> DataFrame:
-    """One row per dataset of every file, with the fields of the file name. A file that cannot
-    be decoded yields one row with `error` set and no datasets."""
+    """One row per dataset of every file, with the fields of the file name. What cannot be decoded,
+    a file or one of its datasets, yields a row with `error` set."""
     def run(batches):
         for batch in batches:
             rows: list[tuple] = []
             for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    entries = [(path, None, *entry, seq)
-                               for seq, entry in enumerate(decoder(bytes(content), arrays))]
-                except (ImportError, MemoryError):  # concerns the job, not this file
-                    raise
-                except Exception as problem:  # any other decoder error concerns this file only
-                    entries = [(path, repr(problem), *[None] * len(Entry._fields), None)]
-                rows.extend(entries)
+                rows.extend(decoded_rows(decoder, path, bytes(content), arrays))
                 if arrays or len(rows) >= _ROWS_PER_FRAME:
                     yield pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
                     rows = []
@@ -123,15 +193,38 @@ def decode_files(files: DataFrame, decoder: Decoder, arrays: bool = False) -> Da
             .withColumn("has_data", F.col("data").isNotNull()))
 
 
-def write_decoded(decoded: DataFrame, path: str) -> None:
+def decode_paths(files: DataFrame, decoder: Decoder, arrays: bool = False) -> DataFrame:
+    """As decode_files, for a list of paths: every task opens its own files, so no other file is
+    read. Files are dealt out by size, whatever the order of the list."""
+    def run(batches):
+        from pyarrow.fs import FileSystem
+
+        for batch in batches:
+            for path in batch["path"]:
+                # Hadoop writes local paths with one slash
+                fs, where = FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                with fs.open_input_file(where) as file:
+                    rows = decoded_rows(decoder, path, file.read(), arrays)
+                if rows:
+                    yield pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
+
+    size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    tasks = max(1, -(-size[0] // _FILES_PER_TASK), -(-size[1] // _BYTES_PER_TASK))
+    decoded = files.select("path").repartition(tasks, "path").mapInPandas(run, _DECODED)
+    return (decoded.withColumns(event_fields(F.col("path")))
+            .withColumn("has_data", F.col("data").isNotNull()))
+
+
+def write_decoded(decoded: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store decoded rows, arrays apart from the rest and by day. The arrays are the bulk of an
     index and are written here once; no later step copies them. A sort inside each task, without
     a shuffle, brings the arrays of one dataset together, and small row groups, closed after few
     of the large rows, let a scan for one dataset skip the others. Days that are present are
-    replaced, other days stay, as for all tables of an index that have days."""
+    replaced, other days stay, as for all tables of an index that have days; with mode "append" rows
+    are added to their days."""
     order = ["has_data", "event_date", "dataset_name", "event_key"]
     (decoded.sortWithinPartitions(*order)
-     .write.mode("overwrite").partitionBy("has_data", "event_date")
+     .write.mode(mode).partitionBy("has_data", "event_date")
      .option("partitionOverwriteMode", "dynamic")
      .option("parquet.block.size", 32 << 20)
      .option("parquet.page.size.row.check.min", 4)
@@ -157,4 +250,6 @@ def payload_rows(decoded: DataFrame) -> DataFrame:
 
 
 def undecodable(decoded: DataFrame) -> DataFrame:
-    return decoded.where("error IS NOT NULL").select("path", "error")
+    """Files, and single datasets of files, that could not be read; `dataset_name` is NULL where it
+    is the whole file."""
+    return decoded.where("error IS NOT NULL").select("path", "dataset_name", "error")

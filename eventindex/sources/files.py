@@ -9,8 +9,8 @@ from eventindex.functions.names import event_fields, stem
 CENTRAL = "/Central/"  # fixed value: folder of the dictionaries, never indexed
 
 
-def binary_files(spark: SparkSession, root: str, extension: str = "h5") -> DataFrame:
-    """All files below the root; `content` is read only if it is selected."""
+def binary_files(spark: SparkSession, root: str | list[str], extension: str = "h5") -> DataFrame:
+    """All files below the root, or several; `content` is read only if it is selected."""
     return (spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", f"*.{extension}")
@@ -18,7 +18,7 @@ def binary_files(spark: SparkSession, root: str, extension: str = "h5") -> DataF
             .where(~F.col("path").contains(CENTRAL)))
 
 
-def scan_files(spark: SparkSession, root: str, extension: str = "h5") -> DataFrame:
+def scan_files(spark: SparkSession, root: str | list[str], extension: str = "h5") -> DataFrame:
     return (binary_files(spark, root, extension)
             .select("path", "length", "modificationTime"))
 

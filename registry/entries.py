@@ -12,11 +12,12 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventindex.functions import arrays as A, names as N, numeric, text as X, times as T, values as V
-from eventindex.operators import (cuts as C, dictionaries as D, flatten as FL, frames as FR,
+from eventindex.operators import (constants as CN, cuts as C, dictionaries as D, flatten as FL, frames as FR,
                                   groups as G, ordinals as O, payload as P, select as S,
                                   shortlist as SH, spectra as SP)
+from eventindex.plans import build as B
 from eventindex.session import configure, new_path, spread
-from eventindex.sources import (arrays as SA, containers as SC, dictionaries as SD, files as SF,
+from eventindex.sources import (arrays as SA, containers as SC, dictionaries as SD, event_source as ES, files as SF,
                                 index as SI, manifest as SM)
 from registry import fixtures as fx
 from registry.fixtures import EV, INFO, LINES, PIXELS, SHOTS, local_s, table
@@ -172,6 +173,68 @@ def _(spark, sf):
                        "size", "seq")
 
 
+DECODE_JSON = "eventindex.sources.containers:decode_json"
+
+
+@entry("event_source", f"""WITH {EV}
+  SELECT event_key, event_s, '/beam/intensity' AS dataset_name, value::VARCHAR AS value, 0::BIGINT AS seq,
+    event_date::VARCHAR AS day FROM ev
+  WHERE event_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-04'""")
+def _(spark, sf):
+    """Two days and one dataset of a tree: no other folder is listed, no other dataset decoded."""
+    rows = ES.read_events(spark, fx.container_tree(spark, sf), DECODE_JSON)
+    leaf = SC.leaf_rows(rows.where("event_date BETWEEN DATE'2024-01-03' AND DATE'2024-01-04'")
+                        .where("dataset_name = '/beam/intensity'"))
+    return leaf.select("event_key", seconds(), "dataset_name", "value", "seq", day())
+
+
+@entry("container_walk", f"""WITH {EV}
+  SELECT event_key, '/beam/intensity' AS dataset_name, '/beam' AS group_name, value::VARCHAR AS value, false AS fault
+    FROM ev UNION ALL
+  SELECT event_key, '/alias', '/', value::VARCHAR, false FROM ev UNION ALL
+  SELECT event_key, '/twin/intensity', '/twin', value::VARCHAR, false FROM ev UNION ALL
+  SELECT event_key, unnest(['/beam/around', '/twin/around', '/nowhere', '/ragged']), NULL, NULL, true FROM ev""")
+def _(spark, sf):
+    """Links to a dataset, to a group, to a group around them and to nothing, and a dataset that
+    cannot be read: what is sound is indexed, each fault is reported by itself."""
+    def link(path):
+        return F.struct(F.lit(path).alias("@link"))
+
+    beam = F.struct(F.col("value").alias("intensity"), link("/beam").alias("around"))
+    ragged = F.array(F.array(F.lit(1), F.lit(2)), F.array(F.lit(3)))
+    content = F.to_json(F.struct(
+        beam.alias("beam"), link("/beam/intensity").alias("alias"), link("/beam").alias("twin"),
+        link("/no/where").alias("nowhere"), ragged.alias("ragged")))
+    files = fx.event_rows(spark, sf).select("path", content.cast("binary").alias("content"))
+    decoded = SC.decode_files(files, SC.decode_json)
+    text = F.lit(None).cast("string")
+    good = SC.leaf_rows(decoded).select("event_key", "dataset_name", "group_name", "value", F.lit(False).alias("fault"))
+    faults = SC.undecodable(decoded).select(
+        N.event_fields(F.col("path"))["event_key"].alias("event_key"), "dataset_name",
+        text.alias("group_name"), text.alias("value"), F.lit(True).alias("fault"))
+    return good.unionByName(faults)
+
+
+@entry("index_incremental", f"""WITH {EV}
+  SELECT event_key, event_s, '/beam/intensity' AS dataset_name, value::VARCHAR AS value, 'leaf' AS kind
+    FROM ev UNION ALL
+  SELECT event_key, event_s, '/kind', event_type, 'leaf' FROM ev UNION ALL
+  SELECT '', -1, 'first half', (count(*) FILTER (event_date < DATE '2024-01-16'))::VARCHAR, 'decoded' FROM ev UNION ALL
+  SELECT '', -1, 'both halves', (count(*) FILTER (event_date >= DATE '2024-01-16'))::VARCHAR, 'decoded' FROM ev UNION ALL
+  SELECT '', -1, 'again', '0', 'decoded'""")
+def _(spark, sf):
+    """A tree indexed up to the middle of the month, then whole, then once more."""
+    root, out = fx.container_tree(spark, sf), new_path(spark, "incremental")
+    done = [("first half", B.update_index(spark, root, out, SC.decode_json, arrays=False, end="2024-01-15")),
+            ("both halves", B.update_index(spark, root, out, SC.decode_json, arrays=False)),
+            ("again", B.update_index(spark, root, out, SC.decode_json, arrays=False))]
+    leaf = SI.read_leaf(spark, f"{out}/leaf").where("dataset_name IN ('/beam/intensity', '/kind')")
+    counts = spark.createDataFrame([("", -1, name, str(c.decoded), "decoded") for name, c in done],
+                                   "event_key string, event_s bigint, dataset_name string, value string, kind string")
+    return (leaf.select("event_key", seconds(), "dataset_name", "value", F.lit("leaf").alias("kind"))
+            .unionByName(counts))
+
+
 LEAF_OUT = ["event_key", "event_s", "dataset_name", "group_name", "value", "value_num", "size",
             "dims", "seq", "day"]
 LEAF_SQL = """SELECT event_key, event_s, dataset_name, group_name, value,
@@ -546,6 +609,19 @@ def _(spark, sf):
     return D.constant_values(customer_leaves(spark, sf)).select("dataset_name", "value")
 
 
+@entry("merge_constants", f"""WITH {CUSTOMER}, f AS (
+    SELECT '/customer/' || o_custkey AS dataset_name, arg_min(o_orderkey, (o_orderdate, o_orderkey::VARCHAR)) AS seq,
+      count(*) AS n FROM orders GROUP BY ALL)
+  SELECT dataset_name, value, n, seq AS first_seq FROM k JOIN f USING (dataset_name)""")
+def _(spark, sf):
+    """The states of two halves of the orders, merged without their leaves."""
+    leaf, later = customer_leaves(spark, sf), F.col("event_ts") >= "1996-01-01"
+    states = [CN.constant_state(leaf.where(c)) for c in (~later, later)]
+    merged = CN.merge_states(states[0].unionByName(states[1]))
+    return (CN.constants_of(merged).select("dataset_name", "value")
+            .join(merged.select("dataset_name", "n", "first_seq"), "dataset_name"))
+
+
 @entry("first_value", f"""WITH {LINES} SELECT event_key, dataset_name,
     arg_min(value, seq) AS value FROM leaf GROUP BY ALL""")
 def _(spark, sf):

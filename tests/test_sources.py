@@ -246,16 +246,32 @@ def test_hdf5_walk_with_a_stand_in(monkeypatch):
             assert key == ()
             return self.values[()]
 
-    class File(Node):
+    class Group(Node):
+        def __init__(self, name, parent, attrs=None):
+            super().__init__(name, parent, attrs)
+            self.members = {}
+
+        def keys(self):
+            return list(self.members)
+
+        def __getitem__(self, key):
+            found = self.members[key]
+            if isinstance(found, Exception):
+                raise found
+            return found
+
+    class File(Group):
         def __init__(self, handle, mode):
             assert handle.read() == b"bytes" and mode == "r"
             super().__init__("/", None)
-            group = Node("/g", self, {"comment": b"in mm"})
-            self.nodes = [group, Dataset("/g/one", group, [672]),
-                          Dataset("/g/scalar", group, np.float64(1.5), {"acqStamp": 7}),
-                          Dataset("/g/text", group, np.array([b"ab"])),
-                          Dataset("/g/code", group, np.array([b"A"])),
-                          Dataset("/g/image", group, np.arange(6).reshape(2, 3))]
+            group = self.members["g"] = Group("/g", self, {"comment": b"in mm"})
+            group.members = {"one": Dataset("/g/one", group, [672]),
+                             "scalar": Dataset("/g/scalar", group, np.float64(1.5), {"acqStamp": 7}),
+                             "text": Dataset("/g/text", group, np.array([b"ab"])),
+                             "code": Dataset("/g/code", group, np.array([b"A"])),
+                             "image": Dataset("/g/image", group, np.arange(6).reshape(2, 3)),
+                             "gone": KeyError("broken link"), "around": self}
+            self.members["alias"] = group.members["one"]
 
         def __enter__(self):
             return self
@@ -263,19 +279,22 @@ def test_hdf5_walk_with_a_stand_in(monkeypatch):
         def __exit__(self, *_):
             pass
 
-        def visititems(self, visit):
-            for n in self.nodes:
-                assert visit(n.name[1:], n) is None
-
     monkeypatch.setitem(sys.modules, "h5py", types.SimpleNamespace(File=File, Dataset=Dataset))
-    got = list(SC.decode_hdf5(b"bytes", True))
+    every = list(SC.decode_hdf5(b"bytes", True))
+    assert [e.dataset_name for e in every if isinstance(e, SC.Fault)] == ["/g/gone", "/g/around"]
+    # the alias is found under its own name, in its own group
+    assert (every[-1].dataset_name, every[-1].group_name, every[-1].text) == ("/alias", "/", "672")
+    some = list(SC.decode_hdf5(b"bytes", True, lambda name: name.endswith("code")))
+    assert [e.dataset_name for e in some if e is not None and not isinstance(e, SC.Fault)] == ["/g/code"]
+    assert len(some) == len(every)
+    got = [e for e in every[:-1] if not isinstance(e, SC.Fault)]
     assert [(e.dataset_name, e.text, e.shape, e.dtype) for e in got] == [
         ("/g/one", "672", [1], "int64"), ("/g/scalar", "1.5", [], "float64"),
         ("/g/text", "ab", [1], "|S2"), ("/g/code", "A", [1], "|S1"),
         ("/g/image", None, [2, 3], "int64")]
     assert got[0].group_attrs == {"comment": "in mm"} and got[1].attrs == {"acqStamp": "7"}
     assert list(got[4].data) == [0, 1, 2, 3, 4, 5] and got[0].data is None
-    assert next(e for e in SC.decode_hdf5(b"bytes", False) if e.shape == [2, 3]).data is None
+    assert next(e for e in SC.decode_hdf5(b"bytes", False) if not isinstance(e, SC.Fault) and e.shape == [2, 3]).data is None
 
 
 def test_row_groups_hold_few_datasets(spark):
