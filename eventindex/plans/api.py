@@ -10,13 +10,14 @@ from eventindex.operators.cuts import all_pass, any_cut_name, cut_aggregates, pa
 from eventindex.operators.dictionaries import matched_names
 from eventindex.operators.frames import prepare_frames
 from eventindex.operators.groups import anchor_events, group_metadata, group_values
+from eventindex.operators.locate import fetch_entries
 from eventindex.operators.ordinals import select_ordinals
 from eventindex.operators.payload import attach_payload, missing_payload
 from eventindex.operators.select import EVENT, name_condition, pivot_columns, time_range
 from eventindex.operators.shortlist import keep_operating, shortlist, with_facts
 from eventindex.operators.spectra import BINS, peak_frequency
 from eventindex.session import configure
-from eventindex.sources.containers import payload_rows, read_decoded
+from eventindex.sources.containers import Decoder, payload_rows, read_decoded
 from eventindex.sources.dictionaries import read_dictionaries
 from eventindex.sources.index import read_leaf
 
@@ -145,12 +146,15 @@ class EventIndex:
         return days.where(F.col("dataset_name").startswith(parent_group(name).rstrip("/") + "/"))
 
     def search(self, keywords: str = "", comment: str = "", start: str = "", end: str = "",
-               cuts: str = "", datasets: str | None = None, events: str | None = None
-               ) -> DataFrame:
+               cuts: str = "", datasets: str | None = None, events: str | None = None,
+               decoder: Decoder | None = None) -> DataFrame:
         """The group of one dataset with its arrays: a row per event and dataset, holding the
-        value or the array."""
+        value or the array. With a decoder, arrays are read from the event files that the listing
+        names, and no payload need be stored; `missing` then tells why an array is not there."""
         name = self._resolve_one(keywords, comment, datasets)
         rows = group_values(**self._group(name, start, end, cuts, events))
+        if decoder is not None:
+            return fetch_entries(rows, self.listing(start, end), decoder)
         return (attach_payload(rows, self._arrays(name, start, end))
                 .withColumn("path", event_path(self.root)))
 
@@ -159,12 +163,16 @@ class EventIndex:
         return missing_payload(found.drop("data"), self.payload)
 
     def frames(self, keywords: str = "", comment: str = "", start: str = "", end: str = "",
-               cuts: str = "", datasets: str | None = None, events: str | None = None
-               ) -> DataFrame:
+               cuts: str = "", datasets: str | None = None, events: str | None = None,
+               decoder: Decoder | None = None) -> DataFrame:
         """Median-filtered frames of one image dataset, for events whose group metadata gives
-        width and height."""
+        width and height. With a decoder, pixels are read from the event files."""
         name = self._resolve_one(keywords, comment, datasets)
         images = group_metadata(**self._group(name, start, end, cuts, events))
+        if decoder is not None:
+            sought = images.withColumns({"dataset_name": F.lit(name), "value": F.lit(None).cast("string")})
+            found = fetch_entries(sought, self.listing(start, end), decoder)
+            return prepare_frames(found.where("data IS NOT NULL").drop("value", "missing"))
         arrays = self._arrays(name, start, end).where(F.col("dataset_name") == F.lit(name))
         joined = images.join(arrays, ["event_date", "event_key"])
         return prepare_frames(joined)

@@ -13,6 +13,7 @@ import re
 from collections.abc import Callable, Iterator
 from typing import Any, NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,7 +30,7 @@ class Entry(NamedTuple):
     text: str | None          # text of a one-element dataset
     shape: list[int]
     dtype: str
-    data: Any                 # flat numbers of a larger dataset, when asked for
+    data: Any                 # flat values of a larger dataset, as they are, when asked for
 
 
 class Fault(NamedTuple):
@@ -67,11 +68,18 @@ def _json_dataset(name: str, group: str, attrs: dict, item, arrays: bool) -> Ent
         if any(not isinstance(row, list) or len(row) != shape[1] for row in flat):
             raise ValueError("rows of different length")
         flat = [x for row in flat for x in row]
-    kinds = {_dtype(x) for x in flat}
     kind = _dtype(flat[0]) if flat else "float64"
     text = None if len(flat) != 1 else str(flat[0])
-    numbers = arrays and len(flat) != 1 and kinds <= {"int64", "float64"}
-    return Entry(name, group, attrs, {}, text, shape, kind, [float(x) for x in flat] if numbers else None)
+    return Entry(name, group, attrs, {}, text, shape, kind, flat if arrays and len(flat) != 1 else None)
+
+
+def as_numbers(data) -> list[float] | np.ndarray | None:
+    """Values as double precision numbers; None where they are of another kind."""
+    if isinstance(data, np.ndarray):
+        return data.astype("float64") if data.dtype.kind in "iuf" else None
+    if data is None or not all(isinstance(x, (int, float)) and not isinstance(x, bool) for x in data):
+        return None
+    return [float(x) for x in data]
 
 
 def decode_json(content: bytes, arrays: bool, wanted: Wanted | None = None) -> Iterator[Entry | Fault | None]:
@@ -128,11 +136,11 @@ def decode_hdf5(content: bytes, arrays: bool, wanted: Wanted | None = None) -> I
 
     def dataset(node, name: str, group: str, attrs: dict) -> Entry:
         one = node.size == 1
-        values = node[()] if one or (arrays and node.dtype.kind in "iuf") else None
+        values = node[()] if one or arrays else None
         return Entry(name, group, attrs, attrs_of(node),
                      text_of(values.flat[0] if node.shape else values) if one else None,
                      list(node.shape), node.dtype.str if node.dtype.kind == "S" else str(node.dtype),
-                     None if one or values is None else values.ravel().astype("float64"))
+                     None if one or values is None else values.ravel())
 
     def walk(group, path: str, inside: list) -> Iterator[Entry | Fault | None]:
         attrs = attrs_of(group)
@@ -166,7 +174,7 @@ def decoded_rows(decoder: Decoder, path: str, content: bytes, arrays: bool,
             if isinstance(entry, Fault):
                 rows.append((path, entry.error, entry.dataset_name, *nothing[1:], seq))
             elif entry is not None and (wanted is None or wanted(entry.dataset_name)):
-                rows.append((path, None, *entry, seq))
+                rows.append((path, None, *entry[:-1], as_numbers(entry.data), seq))
     except (ImportError, MemoryError):  # concerns the job, not this file
         raise
     except Exception as problem:  # any other decoder error concerns this file only

@@ -17,7 +17,7 @@ from eventindex.operators import (constants as CN, cuts as C, dictionaries as D,
                                   shortlist as SH, spectra as SP)
 from eventindex.plans import build as B
 from eventindex.session import configure, new_path, spread
-from eventindex.sources import (arrays as SA, containers as SC, dictionaries as SD, event_source as ES, files as SF,
+from eventindex.sources import (arrays as SA, chunks as CH, containers as SC, dictionaries as SD, event_source as ES, files as SF,
                                 index as SI, manifest as SM)
 from registry import fixtures as fx
 from registry.fixtures import EV, INFO, LINES, PIXELS, SHOTS, local_s, table
@@ -360,6 +360,25 @@ def exploded(rows: DataFrame) -> DataFrame:
             .withColumn("x", F.round("x", 6)))
 
 
+@entry("payload_chunks", f"""WITH {EV},
+  px AS (SELECT event_key, unnest(range(24)) AS i, user_id FROM ev)
+  SELECT event_key, '/cam/pixels' AS dataset_name, i // 4 AS row, (i % 4 - 1)::BIGINT AS pos,
+    ((user_id * 7919 + i * 2633) % 65536)::VARCHAR AS x FROM px WHERE i // 4 BETWEEN 2 AND 4 AND i % 4 BETWEEN 1 AND 2
+  UNION ALL SELECT event_key, '/cam/stamps', unnest(range(3)), 0, unnest([event_ns, event_ns + 1, event_ns + 2])::VARCHAR FROM ev
+  UNION ALL SELECT event_key, '/cam/words', unnest(range(2)), 0, unnest([event_type, 'q"' || user_id]) FROM ev""")
+def _(spark, sf):
+    """A crop of 16-bit frames, 19-digit integers and text, kept and read back as they are."""
+    path = new_path(spark, "chunks")
+    CH.write_chunks(CH.chunk_files(fx.typed_files(spark, sf), fx.decode_typed, chunk_bytes=16), path)
+    stored = CH.read_chunks(spark, path)
+    frames = stored.where("dataset_name = '/cam/pixels'")
+    # the types are kept: whole numbers come back as such, and as text with all their digits
+    crop = CH.frame_rows(frames, 2, 4, (1, 2), kind="bigint").withColumn("values", F.col("values").cast("array<string>"))
+    rest = CH.frame_rows(stored.where("dataset_name <> '/cam/pixels'"), kind="string")
+    return crop.unionByName(rest).select("event_key", "dataset_name", "row", F.posexplode("values").alias("pos", "x")
+                                         ).withColumn("pos", F.col("pos").cast("bigint"))
+
+
 @entry("export_arrays", """WITH px AS (
     SELECT vec_id, label, unnest(range(64)) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings)
   SELECT layout, vec_id, label::BIGINT AS label, pos::BIGINT AS pos, round(x, 6) AS x
@@ -990,6 +1009,14 @@ def _(spark, sf):
     return exploded(found)
 
 
+@entry("search_files", ENTRIES["search"].sql)
+def _(spark, sf):
+    """As search, with the arrays read from the event files of the events found."""
+    found = fx.located_index(spark, sf).search("", "frames of /CAM3/", SHOT_FROM, SHOT_TO, SHOT_CUTS,
+                                               datasets="0", decoder=SC.decode_json)
+    return exploded(found)
+
+
 @entry("frames_in_range", f"""WITH {SHOTS}, {SHOT_FAILING}, px AS (
     SELECT event_key, label, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS x FROM cam
     WHERE label = 4 AND {SHOT_RANGE} AND event_key NOT IN (FROM failing)),
@@ -1005,6 +1032,13 @@ def _(spark, sf):
     return pixels(found, "frame", "event_key")
 
 
+@entry("frames_from_files", ENTRIES["frames_in_range"].sql)
+def _(spark, sf):
+    found = fx.located_index(spark, sf).frames("cam4 image data", "", SHOT_FROM, SHOT_TO, SHOT_CUTS,
+                                               decoder=SC.decode_json)
+    return pixels(found, "frame", "event_key")
+
+
 STREAK = {"exposure": "/streak/camera/exposure", "time_range": "/streak/camera/timeRange",
           "info": "/streak/camera/info", "intensity": "/beam/source/intensity"}
 

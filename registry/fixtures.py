@@ -210,6 +210,13 @@ def container_tree(spark: SparkSession, sf_dir: str) -> str:
         F.concat(F.lit(root + "/Central/"), F.col("event_date"), F.lit(".h5")).alias("path"),
         "content")
 
+    _write_tree(rows.select("path", "content").unionByName(central))
+    _trees[known] = root
+    return root
+
+
+def _write_tree(files: DataFrame) -> None:
+    """One file per row of (path, content)."""
     def write(batches):
         import os
         from pyarrow import fs
@@ -222,10 +229,51 @@ def container_tree(spark: SparkSession, sf_dir: str) -> str:
                     out.write(text.encode())
             yield batch[["path"]]
 
-    files = rows.select("path", "content").unionByName(central)
     files.mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
-    _trees[known] = root
-    return root
+
+
+def located_index(spark: SparkSession, sf_dir: str) -> EventIndex:
+    """The shots without a stored payload: images lie in one JSON container per event."""
+    known = (spark.sparkContext.applicationId, sf_dir + "#images")
+    if known not in _trees:
+        root = new_path(spark, "images")
+        data = F.col("embedding").cast("array<double>")
+        frame = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.slice(data, r * 8 + 1, 8))
+        image = F.struct(F.struct(frame.alias("data"), F.lit(8).alias("width"), F.lit(8).alias("height")).alias("image"))
+        content = F.to_json(F.create_map(F.concat(F.lit("cam"), "label"), image))
+        rows = table(spark, sf_dir, "embeddings").join(
+            event_rows(spark, sf_dir), F.col("vec_id") == F.col("event_id"))
+        _write_tree(rows.select(F.regexp_replace("path", f"^{ROOT}", root).alias("path"), content.alias("content")))
+        _trees[known] = root
+    ix = shots_index(spark, sf_dir)
+    listed = ix.events.withColumn("path", F.regexp_replace("path", f"^{ROOT}", _trees[known]))
+    return EventIndex(listed, ix.leaf, ix.names, ix.comments, root=_trees[known])
+
+
+FRAME = (6, 4)  # rows and columns of the frames in `typed_files`
+
+
+def typed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A container per event: a frame of 16-bit pixels, 19-digit time stamps, and words."""
+    pixels = F.transform(F.sequence(F.lit(0), F.lit(FRAME[0] * FRAME[1] - 1)),
+                         lambda i: F.pmod(F.col("user_id") * 7919 + i * 2633, F.lit(65536)))
+    content = F.to_json(F.struct(
+        pixels.alias("pixels"), F.array("event_ns", F.col("event_ns") + 1, F.col("event_ns") + 2).alias("stamps"),
+        F.array(F.col("event_type"), F.concat(F.lit('q"'), "user_id")).alias("words")))
+    return event_rows(spark, sf_dir).select("path", content.cast("binary").alias("content"))
+
+
+def decode_typed(content: bytes, arrays: bool):
+    """The containers of `typed_files`, with the pixels in the type a camera gives."""
+    import json
+
+    import numpy as np
+    from eventindex.sources.containers import Entry
+
+    held = json.loads(content)
+    yield Entry("/cam/pixels", "/cam", {}, {}, None, list(FRAME), "uint16", np.array(held["pixels"], "u2"))
+    yield Entry("/cam/stamps", "/cam", {}, {}, None, [3], "int64", held["stamps"])
+    yield Entry("/cam/words", "/cam", {}, {}, None, [2], "object", held["words"])
 
 
 # --- the same inputs as SQL views --------------------------------------------------------
