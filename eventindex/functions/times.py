@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, functions as F
 
@@ -42,6 +43,21 @@ def days_between(start: Column, end: Column) -> Column:
     return F.when(first <= last, days).otherwise(F.array().cast("array<date>"))
 
 
+def whole_hours(start: str, end: str) -> tuple[int, int] | None:
+    """Seconds [lo, hi) of whole hours that surely lie inside a range, an hour left off at each end
+    for the hour that the clocks repeat; None for an open range."""
+    if not start and not end:
+        return None
+
+    def seconds(text: str) -> int:
+        wall = datetime.strptime(text, PY_FORMAT).replace(tzinfo=ZoneInfo(ZONE))
+        return int(wall.timestamp()) // 3_600 * 3_600
+
+    lo = seconds(start) + 7_200 if start else -(1 << 40)
+    hi = seconds(end) - 3_600 if end else 1 << 40
+    return lo, max(lo, hi)
+
+
 def range_condition(start: str, end: str, ts: str = "event_ts", day: str = "event_date") -> Column:
     """Both ends included, an empty text is an open end. The day bounds prune partitions, the
     instants decide."""

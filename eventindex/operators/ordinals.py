@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from eventindex.operators.ranks import select_ranks
 from eventindex.session import materialise
 
 EVENT_ORDER = ("event_ts", "event_key")
@@ -62,10 +63,14 @@ def with_ordinals(df: DataFrame, order_by=EVENT_ORDER, name: str = "ordinal",
             .drop("_part", "_off", "_row"))
 
 
-def select_ordinals(df: DataFrame, spec: str, order_by=EVENT_ORDER,
-                    name: str = "ordinal") -> DataFrame:
-    """Rows at the listed positions (both ends included); positions past the end match nothing."""
+def select_ordinals(df: DataFrame, spec: str, order_by=EVENT_ORDER, name: str = "ordinal",
+                    directory: DataFrame | None = None, inner: tuple[int, int] | None = None) -> DataFrame:
+    """Rows at the listed positions (both ends included); positions past the end match nothing.
+    Events in their usual order are found through the rank directory, the stored one if it is given;
+    other listings are numbered."""
     ranges = parse_ordinals(spec)
+    if tuple(order_by) == EVENT_ORDER and ranges:
+        return select_ranks(df, ranges, name, directory, inner)
     if not ranges:
         return df.where(F.lit(False)).withColumn(name, F.lit(0).cast("bigint"))
     return with_ordinals(df, order_by, name).where(in_ranges(F.col(name), ranges))

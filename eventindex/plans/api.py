@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventindex.functions.names import parent_group
-from eventindex.functions.times import day_dir
+from eventindex.functions.times import day_dir, whole_hours
 from eventindex.operators.cuts import all_pass, any_cut_name, cut_aggregates, parse_cuts
 from eventindex.operators.dictionaries import matched_names
 from eventindex.operators.frames import prepare_frames
@@ -19,7 +19,7 @@ from eventindex.operators.spectra import BINS, peak_frequency
 from eventindex.session import configure
 from eventindex.sources.containers import Decoder, payload_rows, read_decoded
 from eventindex.sources.dictionaries import read_dictionaries
-from eventindex.sources.index import read_leaf
+from eventindex.sources.index import read_leaf, read_ranks
 
 
 def event_path(root: str, extension: str = "h5") -> Column:
@@ -29,16 +29,16 @@ def event_path(root: str, extension: str = "h5") -> Column:
 
 
 class EventIndex:
-    """An index and its dictionaries. Loaders return lazy DataFrames; only `events` positions
-    number the listing at once, in the shared folder.
-
-    Only the list of dataset names to load is collected, as it becomes the columns of the
-    result.
+    """An index and its dictionaries. Loaders return lazy DataFrames. Collected are only the list of
+    dataset names to load, as it becomes the columns of the result, and, where positions of events
+    are asked for, the numbers of events per hour (`ranks`, or counted).
     """
 
     def __init__(self, events: DataFrame, leaf: DataFrame, names: DataFrame,
                  comments: DataFrame, payload: DataFrame | None = None, root: str = "",
-                 match: str = "equals", strict: bool = False, missing: str = "pass"):
+                 match: str = "equals", strict: bool = False, missing: str = "pass",
+                 ranks: DataFrame | None = None):
+        self.ranks = ranks
         self.events, self.leaf, self.payload = events, leaf, payload
         self.names, self.comments, self.root = names, comments, root
         self.match, self.strict, self.missing = match, strict, missing
@@ -49,7 +49,8 @@ class EventIndex:
         stored = read_dictionaries(spark, f"{path}/dictionaries")
         return cls(spark.read.parquet(f"{path}/events"), read_leaf(spark, f"{path}/leaf"),
                    stored.names, stored.comments,
-                   payload_rows(read_decoded(spark, f"{path}/decoded")), root, **options)
+                   payload_rows(read_decoded(spark, f"{path}/decoded")), root,
+                   ranks=read_ranks(spark, path), **options)
 
     def find(self, keywords: str = "", comment: str = "") -> DataFrame:
         """Dataset names found by keyword or comment."""
@@ -81,7 +82,8 @@ class EventIndex:
         """Rows of the events at the picked positions of the listing."""
         if picked is None:
             return rows
-        chosen = select_ordinals(self.listing(start, end).select("event_ts", "event_key"), picked)
+        chosen = select_ordinals(self.listing(start, end).select("event_date", "event_ts", "event_key"), picked,
+                                 directory=self.ranks, inner=whole_hours(start, end))
         return rows.join(chosen.select("event_key"), "event_key", "left_semi")
 
     def load_column(self, keywords: str = "", comment: str = "", start: str = "", end: str = "",

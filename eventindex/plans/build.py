@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventindex.operators.constants import STATE, constant_state, constants_of, merge_states
 from eventindex.operators.dictionaries import comment_dictionary, merge_comments, merge_names, number_constants
+from eventindex.operators.ranks import rank_directory
 from eventindex.session import configure, materialise, new_path
 from eventindex.sources.containers import (Decoder, decode_files, decode_paths, leaf_rows, read_decoded,
                                            undecodable, write_decoded)
@@ -108,7 +109,9 @@ def _write_days(spark: SparkSession, out: str, files: DataFrame, days: DataFrame
     """Write all tables of some days anew; `files` are the ledger rows of these days."""
     decoded = read_decoded(spark, f"{out}/decoded")
     rows = decoded.join(days, "event_date", "left_semi")
-    _write_by_day(events_of(files.select("path")), f"{out}/events")
+    events = events_of(files.select("path"))
+    _write_by_day(events, f"{out}/events")
+    _write_by_day(rank_directory(events, "event_date"), f"{out}/ranks")
     write_leaf(leaf_rows(rows), f"{out}/leaf", attrs=attrs)
     undecodable(decoded).write.mode("overwrite").parquet(f"{out}/undecodable")
     leaf = read_leaf(spark, f"{out}/leaf").join(days, "event_date", "left_semi")
@@ -116,7 +119,7 @@ def _write_days(spark: SparkSession, out: str, files: DataFrame, days: DataFrame
     held = {r[0] for r in files.select("event_date").distinct().collect()}
     emptied = [r[0] for r in days.collect() if r[0] not in held]
     _drop_folders(spark, [f"{out}/{t}/event_date={d}" for d in emptied
-                          for t in ("events", "leaf", "constants_state", "ledger")])
+                          for t in ("events", "ranks", "leaf", "constants_state", "ledger")])
     state = constant_state(leaf, by=("event_date",)).select(*STATE.names)
     if emptied:
         state = state.where(~F.col("event_date").isin(emptied))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventindex.functions.names import event_fields
@@ -69,6 +70,16 @@ def read_leaf(spark: SparkSession, path: str, layout: str = "parquet") -> DataFr
             .select(*LEAF.names))
 
 
+def read_ranks(spark: SparkSession, out: str) -> DataFrame | None:
+    """The stored rank directory of an index; None for an index without one."""
+    try:
+        return spark.read.schema("start bigint, n bigint, event_date date").parquet(f"{out}/ranks")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_event_csvs(spark: SparkSession, root: str, layout: str = "full") -> DataFrame:
     """A tree of one CSV file per event in year/month/day folders, as leaf rows. The file name
     gives event and time; `layout` is "full" or "optimized" (without attributes). Such a file
