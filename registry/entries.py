@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from eventindex.functions import arrays as A, names as N, numeric, text as X, times as T, values as V
 from eventindex.operators import (constants as CN, cuts as C, dictionaries as D, flatten as FL, frames as FR,
                                   groups as G, ordinals as O, payload as P, select as S,
-                                  shortlist as SH, spectra as SP)
+                                  shortlist as SH, spectra as SP, wide as W)
 from eventindex.plans import build as B
 from eventindex.session import configure, new_path, spread
 from eventindex.sources import (arrays as SA, chunks as CH, containers as SC, dictionaries as SD, event_source as ES, files as SF,
@@ -657,6 +657,28 @@ def _(spark, sf):
         "event_key", seconds(), "tax1", "tax5")
 
 
+@entry("wide_pivot", """WITH leaf AS (
+    SELECT 'sup' || l_suppkey AS event_key, l_partkey,
+      arg_min(l_quantity, (l_orderkey, l_linenumber, l_quantity)) AS v FROM lineitem GROUP BY ALL)
+  SELECT event_key, count(*) AS filled, sum(v) AS total, max(v) FILTER (l_partkey = 7) AS p7,
+    max(v) FILTER (l_partkey = 150) AS p150, max(v) FILTER (l_partkey = 199) AS p199
+  FROM leaf GROUP BY event_key""")
+def _(spark, sf):
+    """Supplier = event, part = dataset: as many columns as there are parts, 2,000 at sf0.01."""
+    parts = [r[0] for r in table(spark, sf, "part").select("p_partkey").orderBy("p_partkey").collect()]
+    order = F.row_number().over(Window.partitionBy("l_suppkey", "l_partkey").orderBy(
+        "l_orderkey", "l_linenumber", "l_quantity"))
+    leaf = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("sup"), "l_suppkey").alias("event_key"), F.lit(None).cast("timestamp").alias("event_ts"),
+        F.lit(None).cast("date").alias("event_date"), F.concat(F.lit("/part/"), "l_partkey").alias("dataset_name"),
+        F.col("l_quantity").alias("value_num"), order.alias("seq"))
+    wide = W.pivot_wide(leaf, {f"p{p}": f"/part/{p}" for p in parts}, "value_num")
+    cells = F.array(*[f"p{p}" for p in parts])
+    found = F.array_compact(cells)
+    return wide.select("event_key", F.size(found).cast("bigint").alias("filled"),
+                       F.aggregate(found, F.lit(0.0), lambda a, x: a + x).alias("total"), "p7", "p150", "p199")
+
+
 @entry("group_metadata", f"""WITH {LINES} SELECT event_key, '/line4' AS group_name, dataset_name,
     arg_min(value, seq) AS value FROM leaf WHERE group_name = '/line4' GROUP BY ALL""")
 def _(spark, sf):
