@@ -16,11 +16,12 @@ from eventindex.operators.payload import attach_payload, missing_payload
 from eventindex.operators.select import EVENT, name_condition, pivot_columns, time_range
 from eventindex.operators.shortlist import keep_operating, shortlist, with_facts
 from eventindex.operators.spectra import BINS, peak_frequency
+from eventindex.operators.tree import in_subtrees
 from eventindex.operators.wide import pivot_wide
 from eventindex.session import configure
 from eventindex.sources.containers import Decoder, payload_rows, read_decoded
 from eventindex.sources.dictionaries import read_dictionaries
-from eventindex.sources.index import read_leaf, read_ranks
+from eventindex.sources.index import read_groups, read_leaf, read_ranks
 
 
 def event_path(root: str, extension: str = "h5") -> Column:
@@ -38,8 +39,8 @@ class EventIndex:
     def __init__(self, events: DataFrame, leaf: DataFrame, names: DataFrame,
                  comments: DataFrame, payload: DataFrame | None = None, root: str = "",
                  match: str = "equals", strict: bool = False, missing: str = "pass",
-                 ranks: DataFrame | None = None):
-        self.ranks = ranks
+                 ranks: DataFrame | None = None, groups: DataFrame | None = None):
+        self.ranks, self.groups = ranks, groups
         self.events, self.leaf, self.payload = events, leaf, payload
         self.names, self.comments, self.root = names, comments, root
         self.match, self.strict, self.missing = match, strict, missing
@@ -51,7 +52,7 @@ class EventIndex:
         return cls(spark.read.parquet(f"{path}/events"), read_leaf(spark, f"{path}/leaf"),
                    stored.names, stored.comments,
                    payload_rows(read_decoded(spark, f"{path}/decoded")), root,
-                   ranks=read_ranks(spark, path), **options)
+                   ranks=read_ranks(spark, path), groups=read_groups(spark, path), **options)
 
     def find(self, keywords: str = "", comment: str = "") -> DataFrame:
         """Dataset names found by keyword or comment."""
@@ -138,6 +139,8 @@ class EventIndex:
             return {"leaf": leaf.where(F.lit(False)), "dataset_name": "/", "match": self.match}
         anchors = anchor_events(leaf, name, self.match, parse_cuts(cuts), self.strict,
                                 self.missing)
+        if self.match != "equals" and self.groups is not None:
+            leaf = in_subtrees(leaf, self.groups, name, self.match)
         return {"leaf": leaf, "dataset_name": name, "match": self.match,
                 "anchors": self._pick(anchors, start, end, events)}
 

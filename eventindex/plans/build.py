@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventindex.operators.constants import STATE, constant_state, constants_of, merge_states
 from eventindex.operators.dictionaries import comment_dictionary, merge_comments, merge_names, number_constants
 from eventindex.operators.ranks import rank_directory
+from eventindex.operators.tree import dataset_groups
 from eventindex.session import configure, materialise, new_path
 from eventindex.sources.containers import (Decoder, decode_files, decode_paths, leaf_rows, read_decoded,
                                            undecodable, write_decoded)
@@ -124,6 +125,7 @@ def _write_days(spark: SparkSession, out: str, files: DataFrame, days: DataFrame
     if emptied:
         state = state.where(~F.col("event_date").isin(emptied))
     _write_by_day(state, f"{out}/constants_state")
+    dataset_groups(read_leaf(spark, f"{out}/leaf")).write.mode("overwrite").parquet(f"{out}/groups")
     _write_by_day(files, f"{out}/ledger")
 
 

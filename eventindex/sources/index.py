@@ -70,16 +70,25 @@ def read_leaf(spark: SparkSession, path: str, layout: str = "parquet") -> DataFr
             .select(*LEAF.names))
 
 
-def read_ranks(spark: SparkSession, out: str) -> DataFrame | None:
-    """The stored rank directory of an index; None for an index without one."""
+def _read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
-        return spark.read.schema("start bigint, n bigint, event_date date").parquet(f"{out}/ranks")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
+def read_ranks(spark: SparkSession, out: str) -> DataFrame | None:
+    """The stored rank directory of an index; None for an index without one."""
+    return _read_if_there(spark, f"{out}/ranks", "start bigint, n bigint, event_date date")
+
+
+def read_groups(spark: SparkSession, out: str) -> DataFrame | None:
+    """Dataset names with their groups; None for an index that does not store them."""
+    return _read_if_there(spark, f"{out}/groups", "dataset_name string, group_name string")
+
+
 def read_event_csvs(spark: SparkSession, root: str, layout: str = "full") -> DataFrame:
     """A tree of one CSV file per event in year/month/day folders, as leaf rows. The file name
     gives event and time; `layout` is "full" or "optimized" (without attributes). Such a file

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from eventindex.functions import arrays as A, names as N, numeric, text as X, times as T, values as V
 from eventindex.operators import (constants as CN, cuts as C, dictionaries as D, flatten as FL, frames as FR,
                                   groups as G, ordinals as O, payload as P, select as S,
-                                  shortlist as SH, spectra as SP, wide as W)
+                                  shortlist as SH, spectra as SP, tree as TR, wide as W)
 from eventindex.plans import build as B
 from eventindex.session import configure, new_path, spread
 from eventindex.sources import (arrays as SA, chunks as CH, containers as SC, dictionaries as SD, event_source as ES, files as SF,
@@ -561,6 +561,29 @@ def _(spark, sf):
         "event_key", "dataset_name", "value", "seq", "anchor_group")
 
 
+@entry("group_expand_contains", f"""WITH {LINES}
+  SELECT event_key, dataset_name, value, seq FROM leaf
+  WHERE (event_key, group_name) IN (SELECT event_key, arg_min(group_name, seq) FROM leaf
+                                    WHERE dataset_name LIKE '%4/dis%' GROUP BY event_key)""")
+def _(spark, sf):
+    leaf = fx.leaf_lines(spark, sf)
+    scoped = TR.in_subtrees(leaf, TR.dataset_groups(leaf), "4/dis", "contains")
+    return G.expand_group(scoped, "4/dis", "contains", G.anchor_events(leaf, "4/dis", "contains")).select(
+        "event_key", "dataset_name", "value", "seq")
+
+
+@entry("group_expand_regex", f"""WITH {LINES}
+  SELECT event_key, dataset_name, value, seq FROM leaf
+  WHERE (event_key, group_name) IN (SELECT event_key, arg_min(group_name, seq) FROM leaf
+                                    WHERE regexp_matches(dataset_name, 'line[35]/t.x$') GROUP BY event_key)""")
+def _(spark, sf):
+    """An event with both groups uses the one that comes first."""
+    leaf, pattern = fx.leaf_lines(spark, sf), "line[35]/t.x$"
+    scoped = TR.in_subtrees(leaf, TR.dataset_groups(leaf), pattern, "regex")
+    return G.expand_group(scoped, pattern, "regex", G.anchor_events(leaf, pattern, "regex")).select(
+        "event_key", "dataset_name", "value", "seq")
+
+
 @entry("stem_join", f"""WITH {EV} SELECT event_key AS stem,
     '/csv/' || event_key || '.csv' AS index_path, path, event_key || '.h5' AS h5_name
   FROM ev WHERE event_type <> 'error'""")
