@@ -6,12 +6,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventindex.functions.names import event_fields
-from eventindex.functions.values import (attrs_to_text, parse_shape, shape_size, shape_text,
+from eventindex.functions.values import (attr_triple, attrs_to_text, parse_shape, shape_size, shape_text,
                                          text_to_attrs, to_number)
 from eventindex.schema import LEAF
+from eventindex.sources.records import parse_records, quoted_records
 
 # Column headers of a per-event CSV file.
 CSV_FULL = ["DatasetName", "GroupName", "Dataset Attributes", "DatasetValue", "Shape", "Datatype"]
+CSV_CLUSTER = ["DatasetName", "GroupName", "acqStamp", "exception", "DatasetValue", "Shape", "Datatype"]
 CSV_OPTIMIZED = ["DatasetName", "GroupName", "DatasetValue", "Shape", "Datatype"]
 
 # Values may hold quotes, line breaks and blanks; NULL and the empty text are different things.
@@ -89,28 +91,67 @@ def read_groups(spark: SparkSession, out: str) -> DataFrame | None:
     return _read_if_there(spark, f"{out}/groups", "dataset_name string, group_name string")
 
 
-def read_event_csvs(spark: SparkSession, root: str, layout: str = "full") -> DataFrame:
+LAYOUTS = {"full": CSV_FULL, "optimized": CSV_OPTIMIZED, "cluster": CSV_CLUSTER}
+CSV_QUOTED = {"escape": '"', "mode": "PERMISSIVE"}
+
+
+def _texts(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def read_central(spark: SparkSession, path: str) -> DataFrame:
+    """The central file of constants, as a dictionary of constants: `ref` counts the lines of the
+    file as records, the header being the first."""
+    rows = parse_records(quoted_records(spark, path), _texts(CSV_OPTIMIZED), CSV_QUOTED)
+    return rows.select((F.col("record") + 1).alias("ref"), F.col("DatasetName").alias("dataset_name"),
+                       F.col("GroupName").alias("group_name"), F.coalesce("DatasetValue", F.lit("")).alias("value"),
+                       parse_shape(F.coalesce("Shape", F.lit(""))).alias("shape"), F.col("Datatype").alias("dtype"))
+
+
+def read_event_csvs(spark: SparkSession, root: str, layout: str = "full", central: str | None = None) -> DataFrame:
     """A tree of one CSV file per event in year/month/day folders, as leaf rows. The file name
-    gives event and time; `layout` is "full" or "optimized" (without attributes). Such a file
-    is far below the split size, so its rows stay in order within one task."""
-    headers = CSV_FULL if layout == "full" else CSV_OPTIMIZED
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    rows = (spark.read.schema(schema).option("header", "true").option("escape", '"')
-            .option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(root)
-            .withColumn("path", F.col("_metadata.file_path"))
-            .withColumn("seq", F.monotonically_increasing_id()))
-    attrs = F.col("`Dataset Attributes`") if layout == "full" else F.lit(None).cast("string")
-    shape = parse_shape(F.coalesce("Shape", F.lit("")))
-    # a back-reference row has no shape; its value is the number of a constant
-    size = F.when(F.col("Shape").isNotNull(), shape_size(shape))
-    text = F.lit(None).cast("string")
-    return (rows.withColumns(event_fields(F.col("path")))
-            .where("event_key IS NOT NULL AND NOT contains(path, '/Central/')")
-            .select("event_key", "event_ts", F.col("DatasetName").alias("dataset_name"),
-                    F.col("GroupName").alias("group_name"),
-                    text_to_attrs(F.coalesce(attrs, F.lit(""))).alias("attrs"),
-                    text.alias("comment"), text.alias("acq_stamp"), text.alias("exception"),
-                    F.col("DatasetValue").alias("value"),
-                    to_number(F.col("DatasetValue")).alias("value_num"),
-                    shape.alias("shape"), size.alias("size"), F.col("Datatype").alias("dtype"),
-                    "seq", "event_date"))
+    gives event and time, the record number the place in walk order.
+
+    Layouts: "full", "optimized" (without attributes) and "cluster" (without a header, with stamp and
+    exception). Comment, stamp and exception come from the attributes where a layout has them. A row
+    without a shape refers to a constant by its number in the `central` file, whose value, shape and
+    type it gets; without that file, or for a number it lacks, it has no value."""
+    records = quoted_records(spark, root).where("NOT contains(path, '/Central/')")
+    rows = parse_records(records, _texts(LAYOUTS[layout]), CSV_QUOTED, header=layout != "cluster")
+    return csv_leaf(rows, layout, read_central(spark, central) if central else None)
+
+
+def csv_leaf(rows: DataFrame, layout: str, constants: DataFrame | None = None) -> DataFrame:
+    """Parsed records (path, record, and the columns of a layout) as leaf rows."""
+    none = F.lit(None).cast("string")
+    attrs_text = F.col("`Dataset Attributes`") if layout == "full" else none
+    # a reference has no shape; its number stands in the column after the group
+    refers = F.coalesce("Shape", F.lit("")) == ""
+    number = {"full": attrs_text, "optimized": F.col("DatasetValue"), "cluster": none}[layout]
+    rows = rows.withColumns({
+        **event_fields(F.col("path")), "ref": F.when(refers, number.try_cast("bigint")),
+        "attrs": text_to_attrs(F.coalesce(F.when(~refers, attrs_text), F.lit("")))})
+    value, shape, dtype = F.col("DatasetValue"), parse_shape(F.coalesce("Shape", F.lit(""))), F.col("Datatype")
+    rows = rows.select(
+        "event_key", "event_ts", "event_date", F.col("DatasetName").alias("dataset_name"),
+        F.col("GroupName").alias("group_name"), "attrs", "ref", F.col("record").alias("seq"),
+        F.when(F.col("ref").isNull(), value).alias("value"), F.when(~refers, shape).alias("shape"),
+        F.when(~refers, dtype).alias("dtype"),
+        *([F.col("acqStamp").alias("acq_stamp"), F.col("exception")] if layout == "cluster" else [])
+    ).where("event_key IS NOT NULL")
+    if constants is not None:
+        # rows that refer to nothing, most of them, are spread over keys that no constant has
+        spread = -1 - F.pmod(F.xxhash64("event_key", "seq"), F.lit(1 << 20))
+        known = constants.select(F.col("ref").alias("_ref"), F.col("dataset_name").alias("_name"), *[
+            F.col(c).alias(f"_{c}") for c in ("value", "shape", "dtype")])
+        rows = (rows.withColumn("_key", F.coalesce("ref", spread))
+                .join(known, (F.col("_key") == F.col("_ref")) & (F.col("dataset_name") == F.col("_name")), "left")
+                .withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in ("value", "shape", "dtype")}))
+    size = F.when(F.col("shape").isNotNull(), shape_size(F.col("shape")))
+    value = F.when(F.coalesce(size, F.lit(1)) == 1, F.col("value"))
+    triple = ({"comment": F.lit(""), "acq_stamp": F.coalesce("acq_stamp", F.lit("nan")),
+               "exception": F.coalesce("exception", F.lit("False"))} if layout == "cluster"
+              else attr_triple(F.create_map().cast("map<string,string>"), F.col("attrs")))
+    return rows.withColumns({"size": size, "value": value, "value_num": to_number(value), **triple}).select(
+        "event_key", "event_ts", "dataset_name", "group_name", "attrs", "comment", "acq_stamp", "exception",
+        "value", "value_num", "shape", "size", "dtype", "seq", "event_date")

@@ -18,7 +18,7 @@ from eventindex.operators import (constants as CN, cuts as C, dictionaries as D,
 from eventindex.plans import build as B
 from eventindex.session import configure, new_path, spread
 from eventindex.sources import (arrays as SA, chunks as CH, containers as SC, dictionaries as SD, event_source as ES, files as SF,
-                                index as SI, manifest as SM)
+                                index as SI, manifest as SM, records as SR)
 from registry import fixtures as fx
 from registry.fixtures import EV, INFO, LINES, PIXELS, SHOTS, local_s, table
 
@@ -255,6 +255,88 @@ def _(spark, sf):
     return leaf_out(SI.read_leaf(spark, path, "csv"))
 
 
+def csv_tree(spark, rows: DataFrame, path: str) -> None:
+    """One CSV text per event, in day folders."""
+    fx._write_tree(rows.select(F.concat(F.lit(path + "/"), T.day_dir(F.col("event_date")), F.lit("/"), "event_key",
+                                        F.lit(".csv")).alias("path"), "content"))
+
+
+CSV_OUT = ["event_key", "dataset_name", "group_name", "value", "dims", "dtype", "comment", "stamp", "seq"]
+
+
+def csv_out(leaf: DataFrame) -> DataFrame:
+    return leaf.select("event_key", "dataset_name", "group_name", "value",
+                       F.array_join(F.col("shape").cast("array<string>"), " ").alias("dims"), "dtype", "comment",
+                       F.col("acq_stamp").alias("stamp"), "seq")
+
+
+CSV_NOTE = "'a \"note\", of' || chr(10) || event_type"
+
+
+@entry("event_csvs_full", f"""WITH {EV}
+  SELECT event_key, '/beam/note' AS dataset_name, '/beam' AS group_name, {CSV_NOTE} AS value, '1' AS dims,
+    'object' AS dtype, 'in ' || event_type AS comment, 'nan' AS stamp, 1::BIGINT AS seq FROM ev UNION ALL
+  SELECT event_key, '/beam/mode', '/beam', 'SFT', '1', 'object', '', 'nan', 2 FROM ev UNION ALL
+  SELECT event_key, '/beam/image', '/beam', NULL, '512 672', 'uint16', '', 'nan', 3 FROM ev UNION ALL
+  SELECT event_key, '/beam/gone', '/beam', NULL, NULL, NULL, '', 'nan', 4 FROM ev""")
+def _(spark, sf):
+    """Quoted line breaks, attributes, and rows that refer to the central file of constants."""
+    path = new_path(spark, "csvs")
+    note = F.concat(F.lit('"a ""note"", of\n'), "event_type", F.lit('"'))
+    content = F.concat(
+        F.lit("DatasetName,GroupName,Dataset Attributes,DatasetValue,Shape,Datatype\n/beam/note,/beam,\"{'comment': 'in "),
+        "event_type", F.lit("'}\","), note, F.lit(',"(1,)",object\n/beam/mode,/beam,2,,\n'),
+        F.lit('/beam/image,/beam,3,,\n/beam/gone,/beam,99,,\n'))
+    csv_tree(spark, fx.event_rows(spark, sf).select("event_date", "event_key", content.alias("content")), path)
+    central = new_path(spark, "central") + "/CentralCSV.csv"
+    text = 'DatasetName,GroupName,DatasetValue,Shape,Datatype\n/beam/mode,/beam,SFT,"(1,)",object\n/beam/image,/beam,,"(512, 672)",uint16\n'
+    fx._write_tree(spark.createDataFrame([(central, text)], "path string, content string"))
+    return csv_out(SI.read_event_csvs(spark, path, "full", central))
+
+
+@entry("event_csvs_cluster", f"""WITH {EV}
+  SELECT event_key, '/beam/value' AS dataset_name, '/beam' AS group_name, value::VARCHAR AS value, '1' AS dims,
+    'float64' AS dtype, '' AS comment, user_id::VARCHAR AS stamp, 0::BIGINT AS seq FROM ev UNION ALL
+  SELECT event_key, '/beam/image', '/beam', NULL, '512 672', 'uint16', '', 'nan', 1 FROM ev""")
+def _(spark, sf):
+    """The layout a cluster job writes: no header, stamp and exception in place of attributes."""
+    path = new_path(spark, "csvs")
+    content = F.concat(F.lit("/beam/value,/beam,"), "user_id", F.lit(",False,"), "value",
+                       F.lit(',"(1,)",float64\n/beam/image,/beam,nan,False,,"(512, 672)",uint16\n'))
+    csv_tree(spark, fx.event_rows(spark, sf).select("event_date", "event_key", content.alias("content")), path)
+    return csv_out(SI.read_event_csvs(spark, path, "cluster"))
+
+
+@entry("split_mixed_leaves", f"""WITH {EV}
+  SELECT event_key, '/beam/value' AS dataset_name, '/beam' AS group_name, value::VARCHAR AS value, '1' AS dims,
+    'float64' AS dtype, '' AS comment, user_id::VARCHAR AS stamp, 0::BIGINT AS seq FROM ev
+    WHERE event_type <> 'error' UNION ALL
+  SELECT event_key, '/beam/note', '/beam', {CSV_NOTE}, '1', 'object', '', 'nan', 1 FROM ev
+    WHERE event_type <> 'error' UNION ALL
+  SELECT NULL, 'rejected', reason, text, NULL, NULL, NULL, NULL, count(*) FROM (
+    SELECT 'no dictionary' AS reason, 'not a dictionary ' || user_id AS text FROM ev WHERE event_type = 'error' UNION ALL
+    SELECT 'no comment and name', 'a,b,c' FROM ev WHERE event_type <> 'error') GROUP BY ALL""")
+def _(spark, sf):
+    """A job's output, split and parsed to leaf rows, with what could not be read."""
+    rows = fx.event_rows(spark, sf)
+    note = F.concat(F.lit('"a ""note"", of\n'), "event_type", F.lit('"'))
+    content = F.concat(F.lit("/beam/value,/beam,"), "user_id", F.lit(",False,"), "value", F.lit(',"(1,)",float64\n'),
+                       F.lit("/beam/note,/beam,nan,False,"), note, F.lit(',"(1,)",object\n'))
+    record = F.when(F.col("event_type") == "error", F.concat(F.lit("not a dictionary "), "user_id")).otherwise(
+        F.to_json(F.create_map(F.col("path"), content, F.lit("comment_1"), F.lit("a,b,c"))))
+    path = new_path(spark, "mixed")
+    rows.select(record.alias("value")).write.text(path)
+    parts = SD.split_mixed(spark.read.text(path))
+    parsed = SR.parse_records(SR.number_records(SD.file_lines(parts.files)), SI._texts(SI.CSV_CLUSTER),
+                              SI.CSV_QUOTED, header=False)
+    none = F.lit(None).cast("string")
+    rejects = parts.rejects.groupBy("reason", "text").agg(F.count("*").alias("seq")).select(
+        none.alias("event_key"), F.lit("rejected").alias("dataset_name"), F.col("reason").alias("group_name"),
+        F.col("text").alias("value"), none.alias("dims"), none.alias("dtype"), none.alias("comment"),
+        none.alias("stamp"), "seq")
+    return csv_out(SI.csv_leaf(parsed, "cluster")).unionByName(rejects)
+
+
 @entry("index_partitioned", f"WITH {SHOTS} {LEAF_SQL} WHERE {SHOT_RANGE}")
 def _(spark, sf):
     """Read back with a time range: whole day folders are skipped."""
