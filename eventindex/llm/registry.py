@@ -126,8 +126,8 @@ QUOTED = r"\### Assistant: </turn> ok"
            CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
            sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
                   ORDER BY turn, role, text)) AS loss_sha256,
-           CAST(sum(15 + length(regexp_replace(role, '([\\#<:])', '\\\1', 'g'))
-                + length(regexp_replace(text, '([\\#<])', '\\\1', 'g'))) AS BIGINT) AS formatted_chars
+           CAST(sum(15 + length(regexp_replace(role, '([\\#:]|</)', '\\\1', 'g'))
+                + length(regexp_replace(text, '([\\#]|</)', '\\\1', 'g'))) AS BIGINT) AS formatted_chars
     FROM c GROUP BY conv_id""")
 def chat_format(spark, sf_dir):
     from eventindex.llm import chat

@@ -4,7 +4,7 @@ A rule is a host and a path. It fits its host and all subdomains if the path of
 the rule's. Each URL is expanded into expressions: host suffixes with as many labels as some rule
 has, each with the path prefixes as long as some rule's path. Expressions meet rules in an equi-join
 on the first 32 bits of their SHA-256; then the full digests are compared, and the longest rule
-wins (then the smaller text, then block).
+wins (then the greater text, then block).
 
 Only distinct pairs of host and path are expanded, and expressions are combined before the shuffle,
 so a host that a third of all URLs share is joined once. The lists of label counts and path lengths
