@@ -36,8 +36,8 @@ def plan(df) -> str:
 def test_matches_sql(spark, con, key):
     df = ENTRIES[key].run(spark, SF)
     problem = difference(df, con, ENTRIES[key].sql)
-    # at this size every customer has orders of several statuses
-    assert problem is None or (key == "constants" and problem == "no rows")
+    # at this size every customer has orders of several statuses, so nothing is constant
+    assert problem is None or (key in ("constants", "merge_constants") and problem == "no rows")
     text = plan(df)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     # nothing but the bounded windows of ordinals is brought into a single partition
