@@ -80,6 +80,18 @@ class EventIndex:
         (event_ts, event_key) order."""
         return time_range(self.events, start, end)
 
+    def _with_path(self, rows: DataFrame, start: str, end: str) -> DataFrame:
+        """Rows with the path of the event's file, as it was listed; of several files of one event
+        the first by name. A path that is not known is made from day and key. The join goes away
+        where the path is not asked for, as its right side holds each key once."""
+        made = event_path(self.root)
+        if "path" not in self.events.columns:
+            return rows.withColumn("path", made)
+        listed = (self.listing(start, end).groupBy("event_date", "event_key")
+                  .agg(F.min("path").alias("_listed")))
+        return (rows.join(listed, ["event_date", "event_key"], "left").withColumn("path", F.coalesce("_listed", made))
+                .select(*rows.columns, "path"))
+
     def _pick(self, rows: DataFrame, start: str, end: str, picked: str | None) -> DataFrame:
         """Rows of the events at the picked positions of the listing."""
         if picked is None:
@@ -107,7 +119,7 @@ class EventIndex:
         wanted = parse_cuts(cuts)
         rows = self._pick(time_range(self.leaf, start, end), start, end, events)
         if not names:
-            return rows.select(*EVENT, event_path(self.root).alias("path")).where(F.lit(False))
+            return self._with_path(rows.select(*EVENT).where(F.lit(False)), start, end)
         relevant = name_condition(list(names.values()), self.match)
         if wanted:
             relevant = relevant | any_cut_name(wanted, self.match)
@@ -116,8 +128,7 @@ class EventIndex:
                               extra=cut_aggregates(wanted, self.match))
         keep = all_pass(wanted, self.strict, self.missing) & (F.col("_found") > 0)
         columns = [F.col(f"`{c}`") for c in names]
-        return (table.where(keep)
-                .select(*EVENT, *columns, event_path(self.root).alias("path")))
+        return self._with_path(table.where(keep).select(*EVENT, *columns), start, end)
 
     def load_wide(self, names: dict[str, str], start: str, end: str, cuts: str = "",
                   events: str | None = None, numeric: bool = False) -> DataFrame:
@@ -125,11 +136,11 @@ class EventIndex:
         rows times columns. Cuts are judged by themselves, in a further aggregation."""
         rows = self._pick(time_range(self.leaf, start, end), start, end, events)
         if not names:
-            return rows.select(*EVENT, event_path(self.root).alias("path")).where(F.lit(False))
+            return self._with_path(rows.select(*EVENT).where(F.lit(False)), start, end)
         table = pivot_wide(rows, names, "value_num" if numeric else "value")
         kept = apply_cuts(table, time_range(self.leaf, start, end), parse_cuts(cuts), self.match, self.strict,
                           self.missing)
-        return kept.select(*table.columns, event_path(self.root).alias("path"))
+        return self._with_path(kept.select(*table.columns), start, end)
 
     def _group(self, name: str | None, start: str, end: str, cuts: str, events: str | None
                ) -> dict:
@@ -149,8 +160,8 @@ class EventIndex:
                             events: str | None = None) -> DataFrame:
         """The group of one dataset, per event as a map of dataset name to value."""
         name = self._resolve_one(keywords, comment, datasets)
-        return (group_metadata(**self._group(name, start, end, cuts, events))
-                .withColumn("dataset_name", F.lit(name)).withColumn("path", event_path(self.root)))
+        found = group_metadata(**self._group(name, start, end, cuts, events))
+        return self._with_path(found.withColumn("dataset_name", F.lit(name)), start, end)
 
     def _arrays(self, name: str | None, start: str, end: str) -> DataFrame:
         """Payload in the days of the range; of the dataset's group only, where that is known."""
@@ -173,8 +184,7 @@ class EventIndex:
         rows = group_values(**self._group(name, start, end, cuts, events))
         if decoder is not None:
             return fetch_entries(rows, self.listing(start, end), decoder)
-        return (attach_payload(rows, self._arrays(name, start, end))
-                .withColumn("path", event_path(self.root)))
+        return attach_payload(self._with_path(rows, start, end), self._arrays(name, start, end))
 
     def rejects(self, found: DataFrame) -> DataFrame:
         """Rows of a search whose array is not stored."""

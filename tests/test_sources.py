@@ -78,7 +78,7 @@ def test_load_column(spark, tree, index):
     ix = EventIndex.open(spark, index, root=tree)
     rows = ix.load_column("beam", "", FROM, TO).orderBy("event_ts").collect()
     assert [r["/beam/charge"] for r in rows] == ["0.0", "10.0", "20.0", "30.0", "40.0", None]
-    assert rows[0].path == f"{tree}/2018/05/13/{NS}_117_0.h5"
+    assert rows[0].path == f"file:{tree}/2018/05/13/{NS}_117_0.h5"
     one = ix.load_column("beam charge", "", FROM, TO, "/beam/charge > 10,/beam/charge < 30",
                          numeric=True).orderBy("event_ts").collect()
     assert [r["/beam/charge"] for r in one] == [10.0, 20.0, 30.0]
@@ -347,3 +347,23 @@ def test_missing_decoder_module_stops_the_job(spark, tree):
 def test_suffixed_names_are_no_events(spark):
     names = spark.createDataFrame([(f"/a/{NS}_1_1.h5",), (f"/a/{NS}_1_1_copy.h5",)], "path string")
     assert SF.events_of(names).count() == 1 and SF.rejected_names(names).count() == 1
+
+
+def test_paths_are_those_listed(spark, tmp_path):
+    """A prefixed file in a month without zero padding, and an event of a plain and a prefixed file."""
+    day = tmp_path / "2018" / "5" / "13"
+    day.mkdir(parents=True)
+    content = json.dumps({"a": {"x": 1, "y": [1, 2]}})
+    (day / f"optimized_{NS}_1_1.h5").write_text(content)
+    for prefix in ("", "optimized_"):
+        (day / f"{prefix}{NS + HOUR}_1_2.h5").write_text(content)
+    out = new_path(spark, "paths")
+    build_index(spark, str(tmp_path), out, SC.decode_json)
+    ix = EventIndex.open(spark, out, root=str(tmp_path))
+    want = {f"file:{day}/optimized_{NS}_1_1.h5", f"file:{day}/{NS + HOUR}_1_2.h5"}
+    for found in (ix.load_column("x"), ix.load_wide({"x": "/a/x"}, "", ""), ix.search("a/x"),
+                  ix.load_group_metadata("a/x", "", "2018-05-13 00:00:00", "2018-05-13 23:59:59")):
+        assert {r.path for r in found.collect()} == want
+    # where the path is not asked for, the events are not read
+    plan = ix.load_column("x").drop("path")._jdf.queryExecution().optimizedPlan().toString()
+    assert "/events" not in plan and "_listed" not in plan
