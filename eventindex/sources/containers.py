@@ -207,14 +207,18 @@ def decode_paths(files: DataFrame, decoder: Decoder, arrays: bool = False) -> Da
     def run(batches):
         from pyarrow.fs import FileSystem
 
+        rows: list[tuple] = []
         for batch in batches:
             for path in batch["path"]:
                 # Hadoop writes local paths with one slash
                 fs, where = FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
                 with fs.open_input_file(where) as file:
-                    rows = decoded_rows(decoder, path, file.read(), arrays)
-                if rows:
+                    rows += decoded_rows(decoder, path, file.read(), arrays)
+                if rows and (arrays or len(rows) >= _ROWS_PER_FRAME):
                     yield pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
+                    rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
 
     size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     tasks = max(1, -(-size[0] // _FILES_PER_TASK), -(-size[1] // _BYTES_PER_TASK))
