@@ -1,9 +1,10 @@
 """A small gated recurrent language model in numpy, with a class-factored output.
 
-The state follows h' = h + z * (c - h): the candidate c = tanh(X[token]) and the gate
-z = sigmoid(Z[token] + u * h) read the token from tables, and the gate also reads the state. The
-probability of the next token is P(class | h), times P(token | class, h) where the class has a
-softmax of its own. Training cuts the gradient at the window's start, the state goes on.
+The state follows h' = h + z * (c - h): the candidate c = tanh(X[token] + h U) and the gate
+z = sigmoid(Z[token] + u * h) read the token from tables, and both read the state, the candidate
+through a full matrix. The probability of the next token is P(class | h), times
+P(token | class, h) where the class has a softmax of its own. Training cuts the gradient at the
+window's start, the state goes on.
 
 Documents run side by side in lanes; a lane resets its state where a document starts, so a document
 of any length keeps its state from its first token to its end.
@@ -11,12 +12,14 @@ of any length keeps its state from its first token to its end.
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 
 import numpy as np
 
 STATE = 24
 WINDOW = 32
+SAFE = 60.0     # scores whose exponentials, and sums of them, fit a float32
 
 
 class Net:
@@ -25,8 +28,9 @@ class Net:
     def __init__(self, n_inputs: int, n_classes: int, n_inner: int, inner: int,
                  flat: np.ndarray | None = None):
         h = STATE
-        self.shape = {"Z": (n_inputs, h), "X": (n_inputs, h), "u": (h,), "C": (h, n_classes),
-                      "cb": (n_classes,), "W": (n_inner, h, inner), "wb": (n_inner, inner)}
+        self.shape = {"Z": (n_inputs, h), "X": (n_inputs, h), "u": (h,), "U": (h, h),
+                      "C": (h, n_classes), "cb": (n_classes,), "W": (n_inner, h, inner),
+                      "wb": (n_inner, inner)}
         size = sum(int(np.prod(s)) for s in self.shape.values())
         if flat is None:
             rng = np.random.default_rng(7)
@@ -45,18 +49,22 @@ class Net:
     def states(self, ids: np.ndarray, fresh: np.ndarray, h: np.ndarray):
         """States before each token of a window, gates, candidates, and the state after it."""
         v = self.view
-        gate, cand = v["Z"][ids], np.tanh(v["X"][ids])
+        gate, cand = v["Z"][ids], v["X"][ids]
         before = np.empty_like(gate)
+        starts = fresh.any(1)
         for t in range(len(ids)):
-            h = h * ~fresh[t, :, None]
+            if starts[t]:
+                h = h * ~fresh[t, :, None]
             before[t] = h
-            z = gate[t]
+            z, c = gate[t], cand[t]
             z += v["u"] * h
             np.negative(z, out=z)
             np.exp(z, out=z)
             z += 1
             np.reciprocal(z, out=z)
-            h = h + z * (cand[t] - h)
+            c += h @ v["U"]
+            np.tanh(c, out=c)
+            h = h + z * (c - h)
         return before, gate, cand, h
 
     def outputs(self, flat_h: np.ndarray, cls: np.ndarray, inner: np.ndarray, grad: bool):
@@ -65,20 +73,23 @@ class Net:
         v = self.view
         score = flat_h @ v["C"]
         score += v["cb"]
-        logp, p = _pick(score, cls)
+        # states lie within -1 and 1, which bounds the scores
+        small = max(np.abs(v["C"]).sum(0).max() + np.abs(v["cb"]).max(),
+                    np.abs(v["W"]).sum(1).max() + np.abs(v["wb"]).max()) < SAFE
+        logp, p = _pick(score, cls, grad, small)
         g, dh = ({}, None)
         if grad:
             g["C"], g["cb"] = flat_h.T @ p, p.sum(0)
             dh = p @ v["C"].T
             g["W"], g["wb"] = np.zeros_like(v["W"]), np.zeros_like(v["wb"])
-        order = np.argsort(cls, kind="stable")
+        order = np.argsort(cls.astype(np.int16), kind="stable")
         edge = np.searchsorted(cls[order], np.arange(self.n_inner + 1))
         for c in range(self.n_inner):
             rows = order[edge[c]:edge[c + 1]]
             if not len(rows):
                 continue
             own = flat_h[rows]
-            lp, q = _pick(own @ v["W"][c] + v["wb"][c], inner[rows])
+            lp, q = _pick(own @ v["W"][c] + v["wb"][c], inner[rows], grad, small)
             logp[rows] += lp
             if grad:
                 g["W"][c], g["wb"][c] = own.T @ q, q.sum(0)
@@ -96,37 +107,56 @@ class Net:
         out = np.zeros_like(flat)
         out[used] = du_h
         out = out.reshape(before.shape)
-        d_gate, d_cand = np.empty_like(gate), np.empty_like(cand)
-        dh, du = np.zeros_like(h), np.zeros(width, np.float32)
+        d_gate, d_cand = (cand - before) * gate * (1 - gate), gate * (1 - cand * cand)
+        dh, keep, back = np.zeros_like(h), 1 - gate, np.ascontiguousarray(v["U"].T)
+        starts = fresh.any(1)
         for t in range(steps - 1, -1, -1):
-            z, c, b = gate[t], cand[t], before[t]
-            da = dh * (c - b) * z * (1 - z)
-            d_gate[t], d_cand[t] = da, dh * z * (1 - c * c)
-            du += (da * b).sum(0)
-            dh = (dh * (1 - z) + da * v["u"] + out[t]) * ~fresh[t, :, None]
-        g["u"] = du
-        seen = ids.reshape(-1)
+            da, dc = d_gate[t], d_cand[t]
+            da *= dh
+            dc *= dh
+            dh *= keep[t]
+            dh += da * v["u"]
+            dh += dc @ back
+            dh += out[t]
+            if starts[t]:
+                dh *= ~fresh[t, :, None]
+        d_gate, d_cand = d_gate.reshape(-1, width), d_cand.reshape(-1, width)
+        g["u"], g["U"] = (d_gate * flat).sum(0), flat.T @ d_cand
+        seen = ids.reshape(-1).astype(np.int16)     # few inputs: sorted by radix
         order = np.argsort(seen, kind="stable")
         names, first = np.unique(seen[order], return_index=True)
         total = np.zeros(len(self.flat), np.float32)
         into = self.views(total)
         for name, d in (("Z", d_gate), ("X", d_cand)):
-            into[name][names] = np.add.reduceat(d.reshape(-1, width)[order], first, axis=0)
+            into[name][names] = np.add.reduceat(d[order], first, axis=0)
         for name, d in g.items():
             into[name][...] = d
         return total / max(1, len(used)), after
 
 
-def _pick(score: np.ndarray, target: np.ndarray):
-    """Log softmax at the targets; the scores become softmax minus one-hot."""
-    score -= score.max(1, keepdims=True)
+def keep_freed_memory() -> None:
+    """Let the process keep the memory of freed arrays, as each window takes the same sizes again.
+    Without a C library that can, nothing changes but the time."""
+    try:
+        set_option = ctypes.CDLL(None).mallopt
+    except (AttributeError, OSError, TypeError):
+        return
+    for option in (-1, -3):     # fixed values: M_TRIM_THRESHOLD, M_MMAP_THRESHOLD
+        set_option(option, 1 << 26)
+
+
+def _pick(score: np.ndarray, target: np.ndarray, grad: bool, small: bool):
+    """Log softmax at the targets; with `grad`, the scores become softmax minus one-hot."""
+    if not small:
+        score -= score.max(1, keepdims=True)
     rows = np.arange(len(target))
     at = score[rows, target]
     np.exp(score, out=score)
-    total = score.sum(1)
+    total = score @ np.ones(score.shape[1], np.float32)
     logp = at - np.log(total)
-    score /= total[:, None]
-    score[rows, target] -= 1
+    if grad:
+        score *= (1 / total)[:, None]
+        score[rows, target] -= 1
     return logp, score
 
 
@@ -143,7 +173,7 @@ def lanes_of(docs: list[np.ndarray], lanes: int):
         heapq.heappush(load, (n + len(docs[d]), k))
     steps = max(n for n, _ in load)
     ids = np.zeros((steps, lanes), np.int32)
-    doc = np.full((steps, lanes), -1, np.int64)
+    doc = np.full((steps, lanes), -1, np.int32)
     fresh = np.zeros((steps, lanes), bool)
     for k, own in enumerate(plan):
         at = 0
@@ -175,6 +205,7 @@ def train(net: Net, docs: list[np.ndarray], classes: np.ndarray, inner: np.ndarr
     """One pass over whole documents (token ids). Returns the number of tokens."""
     if not docs:
         return 0
+    keep_freed_memory()
     ids, doc, fresh = lanes_of(docs, lanes)
     h = np.zeros((ids.shape[1], STATE), np.float32)
     for t in range(0, len(ids), WINDOW):
@@ -191,6 +222,7 @@ def log_likelihood(net: Net, docs: list[np.ndarray], classes: np.ndarray, inner:
     total = np.zeros(len(docs))
     if not docs:
         return total
+    keep_freed_memory()
     ids, doc, fresh = lanes_of(docs, lanes)
     h = np.zeros((ids.shape[1], STATE), np.float32)
     for t in range(0, len(ids), WINDOW):

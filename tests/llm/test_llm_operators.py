@@ -47,6 +47,13 @@ def test_lm_base_scores_and_gain(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_lm_score_does_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    one, many = ({r["doc_id"]: r["score"] for r in lm_score.score(docs.repartition(n)).collect()} for n in (1, 5))
+    assert one.keys() == many.keys()
+    assert all(math.isclose(one[i], many[i], rel_tol=1e-6) for i in one)
+
+
 def test_lm_gradient_is_that_of_the_likelihood():
     from eventindex.llm.gated_net import WINDOW, lanes_of
 
