@@ -2,7 +2,8 @@
 
 A block is a stretch of text between the borders of block elements. Its ancestors are the open block
 elements; what is never closed ends with its nearest closed ancestor. Text of scripts, styles, the
-head and other raw or hidden elements belongs to no block. Character references are decoded after
+head and other raw elements belongs to no block, nor does text of elements hidden by `hidden`,
+`aria-hidden="true"`, `display: none` or `visibility: hidden`. Character references are decoded after
 tags are found, so `&lt;p&gt;` is text. White space inside a block becomes one space.
 """
 
@@ -18,6 +19,7 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i img ins de
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("head svg math object audio video canvas select button".split())
+BOXES = frozenset("section div ol ul dl aside table details fieldset".split())
 # elements that end an open element of the same group: <p> ends <p>, <li> ends <li>, ...
 ENDS_P = frozenset("p div ul ol li dl dt dd table section article aside header footer nav main form "
                    "h1 h2 h3 h4 h5 h6 pre blockquote figure hr address fieldset".split())
@@ -25,6 +27,8 @@ ENDS_P = frozenset("p div ul ol li dl dt dd table section article aside header f
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
                     r"|<[!?][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_PAIR = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _GAP = re.compile(r"[\x20\x09-\x0D]+")
 _NAME = re.compile(r"[a-z]+")
 
@@ -34,6 +38,20 @@ class Block(NamedTuple):
     path: tuple[tuple[str, str], ...]   # (tag, words of class, id and role), outermost first
     linked: int                         # characters inside links
     tag: str
+    box: int = 0                        # number of the nearest element of BOXES around it, 0: none
+    top: int = 0                        # of the outermost one, inside `article` or `main` if any
+
+
+def hidden(attributes: str) -> bool:
+    """Whether a tag's attributes hide its element."""
+    if "hidden" not in (low := attributes.lower()) and "none" not in low:
+        return False
+    for name, *values in _PAIR.findall(low):
+        value = "".join(values)
+        if (name == "hidden" or name == "aria-hidden" and value == "true"
+                or name == "style" and _UNSEEN.search(value)):
+            return True
+    return False
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -42,11 +60,13 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
+    marks: list[tuple[bool, int]] = []      # of the open elements: hidden, number as a box
+    unseen, made, inline = 0, 0, []         # open hidden elements; hidden inline element, its depth
     linked, in_link, skipping, at = 0, 0, 0, 0
 
     def add(raw: str) -> None:
         nonlocal linked
-        if raw and not skipping:
+        if raw and not skipping and not unseen and not inline:
             parts.append(raw)
             if in_link:
                 linked += len(raw)
@@ -56,10 +76,18 @@ def blocks(page: str | None) -> list[Block]:
         if parts:
             text = _GAP.sub(" ", html.unescape("".join(parts))).strip(" ")
             if text:
-                out.append(Block(text, tuple(stack), linked, stack[-1][0] if stack else ""))
+                inner = max((k for k, (t, _) in enumerate(stack) if t in ("article", "main")), default=-1)
+                boxes = [n for _, n in marks[inner + 1:] if n] or [0]
+                out.append(Block(text, tuple(stack), linked, stack[-1][0] if stack else "",
+                                 boxes[-1], boxes[0]))
             parts.clear()
         linked = 0
 
+    def close_last() -> str:
+        nonlocal unseen
+        unseen -= marks.pop()[0]
+        return stack.pop()[0]
+
     end = len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -77,6 +105,12 @@ def blocks(page: str | None) -> list[Block]:
                 at = close.end() if close else end
             continue
         if tag in INLINE:
+            if inline:
+                inline[1] += (tag == inline[0]) * (-1 if closing else 1)
+                if not inline[1]:
+                    inline.clear()
+            elif not closing and tag not in VOID and hidden(m[3]):
+                inline += [tag, 1]
             if tag == "a":
                 in_link = max(0, in_link - 1) if closing else in_link + 1
             elif tag == "br":
@@ -91,16 +125,20 @@ def blocks(page: str | None) -> list[Block]:
             skipping = 0
         end_block()
         in_link = 0
+        inline.clear()
         if closing:
             if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
+                while close_last() != tag:
                     pass
         elif tag not in VOID:
             if stack and (stack[-1][0] == "p" and tag in ENDS_P or stack[-1][0] == tag
                           and tag in ("li", "dt", "dd", "option", "tr", "td", "th")):
-                stack.pop()
+                close_last()
             names = " ".join(x for a in _ATTRIBUTE.finditer(m[3])
                              for x in _NAME.findall((a[2] or a[3] or a[4] or "").lower()))
+            made += 1
+            marks.append((hidden(m[3]), made * (tag in BOXES)))
+            unseen += marks[-1][0]
             stack.append((tag, names))
     end_block()
     return out

@@ -1,19 +1,22 @@
 """Main text of web pages by a linear-chain conditional random field over DOM leaf blocks.
 
 Blocks are labelled text or clutter. Features of a block are its own and its ancestors' tags, the
-words of their class, id and role, and classes of length, link share, signs and sentence ends. The
+words of their class, id and role, and classes of length, link share, signs and sentence ends, and
+signs of reader comments (headings, author lines, times, reply links) in it and in its box. The
 chain's two-by-two transitions let neighbours support each other; Viterbi gives the best labels.
 
 Training pages: a bounded sample of pages that mark their main text with one `article` or `main`
 element teach the labels (blocks inside it, without clutter elements there, are text). Each page is
-also learnt in rewritten forms, in which the sections carry other tags and class words, more kinds
+also learnt in rewritten forms, in which the sections carry other tags and class words, its text
+holds lists, captions, tables and sections without a name, more kinds
 of clutter are added around and inside the text (built from the page's own sentences), and markers
 are left out at random, so that the field does not lean on one element. Parameters come from
 full-batch gradient ascent on the L2-penalised conditional likelihood.
 
 Defined results: null or empty HTML, and a page without text blocks, give an empty text; unclosed
 elements end with their nearest closed ancestor; very deep or long pages are handled in one pass;
-repeated rows each give a row; an empty table gives an empty result, and a table without markers is
+hidden elements give no text; comments without any mark or sign of their own in the text's element
+cannot be told from it; repeated rows each give a row; an empty table gives an empty result, and a table without markers is
 labelled by the rewritten forms' built-in sentences only. Extra columns are ignored, whatever their
 names.
 """
@@ -21,7 +24,9 @@ names.
 from __future__ import annotations
 
 import random
+import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +37,7 @@ from eventindex.llm.html_blocks import Block, blocks
 
 SAMPLE = 96             # marked pages that are learnt
 FORMS = 4               # rewritten forms of each
-LONGEST = 60_000        # characters of a page that may be learnt
+LONGEST = 60_000        # characters of a page that may be learnt, a parameter of `fit`
 BITS = 13
 PENALTY, STEPS = 0.05, 60
 MAIN = ("article", "main")
@@ -48,7 +53,9 @@ CLUTTER_NAMES = {
     "notice": ["cookie notice", "cookie consent", "notice", "alert", "popup", "modal", "gdpr banner"],
     "ad": ["ad", "ads", "advert", "advertisement", "sponsored", "promo", "ad slot"],
     "form": ["newsletter form", "subscribe", "search form", "login", "signup"],
-    "comments": ["comments", "comment list", "comment", "reply", "disqus thread", "comment body"],
+    "comments": ["comments", "comment list", "comment", "reply", "disqus thread", "comment body",
+                 "kommentare", "kommentar liste", "commentaires", "comentarios", "commenti", "reacties",
+                 "responses", "discussion", "diskussion", "leserbriefe", "opiniones", "avis"],
     "share": ["share", "social", "share buttons", "follow"],
 }
 CLUTTER_TAGS = {"menu": ["nav", "div", "ul"], "header": ["header", "div"], "footer": ["footer", "div"],
@@ -56,11 +63,41 @@ CLUTTER_TAGS = {"menu": ["nav", "div", "ul"], "header": ["header", "div"], "foot
                 "ad": ["div", "aside", "section"], "form": ["form", "div"],
                 "comments": ["section", "div", "ol"], "share": ["div", "ul"]}
 FILLER = "We use a few words here so that a page without sentences can be learnt too."
+# signs of reader comments in four languages
+HEADS = ("Comments|Reader comments|Responses|Leave a comment|Kommentare|Leserkommentare|Diskussion|"
+         "Commentaires|Réactions|Vos réactions|Comentarios|Opiniones|Deja un comentario").split("|")
+REPLIES = "Reply|Like|Report|Antworten|Melden|Gefällt mir|Répondre|Signaler|Responder|Me gusta|Denunciar".split("|")
+SAYS = "says|wrote|said|schrieb|sagt|schreibt|a écrit|dit|escribió|dice".split("|")
+AGES = ("{} hours ago|{} days ago|{} minutes ago|vor {} Stunden|vor {} Tagen|il y a {} heures|il y a {} jours|"
+        "hace {} horas|hace {} días").split("|")
+NAMES = "Anna|Jonas|Marie|Pablo|guest42|J. Smith|lucia_m|Reader|Max M.|user1987".split("|")
+HEAD_LINE = re.compile(rf"\W*\d*\W*(?:{'|'.join(HEADS)})\W*\d*\W*", re.I)
+REPLY_LINE = re.compile(rf"\W*(?:(?:{'|'.join(REPLIES)})\W*\d*\W*)+", re.I)
+AGE = re.compile("|".join(a.replace("{}", r"\d+") for a in AGES) +
+                 r"|\b\d{1,2}[:.]\d\d\b|\b(?:\d{4}-\d\d-\d\d|\d{1,2}[./]\d{1,2}[./]\d{2,4})\b", re.I)
+SAID = re.compile(rf"^\S+(?: \S+){{0,2}} (?:{'|'.join(SAYS)})\b.{{0,40}}:|^\S+(?: \S\S*)?: ", re.I)
+
+
+def signs(text: str) -> list[str]:
+    """Signs of reader comments in a block; of times, where the block is short."""
+    found = []
+    if len(text) <= 80:
+        found += [n for n, p in (("head", HEAD_LINE), ("reply", REPLY_LINE)) if p.fullmatch(text)]
+        found += ["age"] * bool(AGE.search(text))
+    return found + ["said"] * bool(SAID.match(text[:120]))
 
 
 def features(page: list[Block]) -> list[list[int]]:
     """Hashed features of each block."""
-    out = []
+    own_signs = [signs(b.text) for b in page]
+    size, signed, headed = Counter(), Counter(), set()
+    for b, found in zip(page, own_signs):
+        for box in {b.box, b.top} - {0}:
+            size[box] += 1
+            signed[box] += bool(found)
+            if size[box] == 1 and "head" in found:
+                headed.add(box)
+    out, commented = [], {}
     for k, b in enumerate(page):
         names = []
         for depth, (tag, words) in enumerate(reversed(b.path)):
@@ -68,13 +105,25 @@ def features(page: list[Block]) -> list[list[int]]:
             if depth < 2:
                 names.append(f"t{depth}:{tag}")
             names.extend(f"n:{w}" for w in words.split())
+            names.extend(f"p:{w[:6]}" for w in words.split())
+        if "head" in own_signs[k]:
+            commented[b.box] = k
         tokens = b.text.count(" ") + 1
         names.append(f"len:{min(9, tokens.bit_length())}")
         names.append(f"link:{min(4, 5 * b.linked // max(1, len(b.text)))}")
         names.append(f"end:{b.text[-1] in '.!?:;…'}")
         names.append(f"copy:{'©' in b.text}")
         names.append(f"own:{b.tag}:{min(6, tokens.bit_length())}")
+        names.append(f"list:{b.tag}:{min(4, 5 * b.linked // max(1, len(b.text)))}")
         names.append("first" if k == 0 else "last" if k + 1 == len(page) else "mid")
+        names.extend(f"sign:{x}" for x in own_signs[k])
+        for kind, box in (("box", b.box), ("top", b.top)):
+            if size[box]:
+                names.append(f"{kind}:{min(3, -(-4 * signed[box] // size[box]))}")
+                if box in headed:
+                    names.append(f"{kind}:headed")
+        if b.box in commented:
+            names.append("below a head")
         out.append(sorted({zlib.crc32(n.encode()) & ((1 << BITS) - 1) for n in names}))
     return out
 
@@ -93,14 +142,49 @@ def rewritten(page: list[Block], labels: list[int], rng: random.Random) -> tuple
     """The page in another form: its text under another wrapper, clutter of all kinds around it."""
     text = [b for b, y in zip(page, labels) if y]
     other = [b.text for b, y in zip(page, labels) if not y] or [FILLER]
-    sentences = [s.strip() + "." for b in text for s in b.text.split(". ") if s.strip()][:40] or [FILLER]
+    sentences = [s.strip() + "." for b in text for s in b.text.split(". ") if s.strip()] or [FILLER]
     body = (("html", ""), ("body", "")) if rng.random() < 0.5 else (
         ("html", ""), ("body", ""), ("div", rng.choice(["page", "wrapper", "container", "site"])))
     wrap = rng.choice(["article", "main", "div", "div", "section", "td"])
     name = "" if wrap in MAIN and rng.random() < 0.6 else rng.choice(TEXT_NAMES)
     inside = (*body, (wrap, name))
 
+    boxes = iter(range(1, 1 << 30))
+    own_box = next(boxes) if wrap in ("div", "section") else 0
+
+    def comments(base: tuple, n: int) -> list[Block]:
+        """Reader comments, in half of the cases without a name, by their signs only."""
+        tag, box, made = rng.choice(CLUTTER_TAGS["comments"]), next(boxes), []
+        named = rng.random() < 0.5
+        path = (*base, (tag, rng.choice(CLUTTER_NAMES["comments"]) if named else ""))
+        signed = not named or rng.random() < 0.5
+        headed = signed and rng.random() < 0.7
+
+        def add(text: str, inner: str, linked: int = 0) -> None:
+            made.append(Block(text, (*path, (inner, "")), linked, inner, box, own_box or box))
+
+        if headed:
+            add(rng.choice(HEADS) + rng.choice(["", " (3)", ":"]), rng.choice(["h2", "h3", "h4", "p"]))
+        style = rng.choice(["line", "said", "plain"] if headed or not signed else ["line", "said"])
+        for _ in range(n):
+            t, inner = rng.choice(sentences), rng.choice(["p", "div", "li"])
+            who = rng.choice(NAMES)
+            if signed and style == "line":
+                when = rng.choice([*AGES, "12.05.2018 {}:30", "2018-05-{} 10:12"]).format(rng.randint(10, 23))
+                add(f"{who} {when}", rng.choice(["p", "div", "h4"]))
+            elif signed and style == "said":
+                t = f"{who}{rng.choice(['', *(' ' + x for x in SAYS)])}: {t}"
+            add(t, inner)
+            if signed and rng.random() < 0.4:
+                reply = rng.choice(REPLIES)
+                add(reply, rng.choice(["p", "div"]), len(reply) * (rng.random() < 0.7))
+        return made
+
     def clutter(kind: str, base: tuple, n: int) -> list[Block]:
+        if kind == "comments":
+            return comments(base, n)
+        box = next(boxes)
+        top = box if base is body else own_box or box
         tag = rng.choice(CLUTTER_TAGS[kind])
         names = "" if tag in CLUTTER and rng.random() < 0.5 else rng.choice(CLUTTER_NAMES[kind])
         made = []
@@ -111,10 +195,30 @@ def rewritten(page: list[Block], labels: list[int], rng: random.Random) -> tuple
             t = t if long else " ".join(t.split()[:rng.randint(1, 4)]) or "x"
             inner = "li" if tag in ("ul", "ol") or kind == "menu" else rng.choice(["p", "div", ""])
             path = (*base, (tag, names), *(((inner, ""),) if inner else ()))
-            made.append(Block(t, path, len(t) if links else 0, path[-1][0]))
+            made.append(Block(t, path, len(t) if links else 0, path[-1][0], box, top))
         return made
 
+    def insert() -> list[Block]:
+        """A list, caption or table of the text, of short items or sentences."""
+        outer, inner = rng.choice([("ul", "li"), ("ul", "li"), ("ol", "li"), ("figure", "figcaption"),
+                                   ("figure", "figcaption"), ("table", "td"), ("dl", "dd")])
+        box, short = next(boxes) if outer != "figure" else own_box, rng.random() < 0.5
+        made = []
+        for _ in range(1 if outer == "figure" else rng.randint(2, 6)):
+            t = rng.choice(sentences)
+            t = " ".join(t.split()[:rng.randint(1, 5)]) if short else t
+            linked = len(t) // 3 if rng.random() < 0.1 else 0
+            made.append(Block(t, (*inside, (outer, ""), (inner, "")), linked, inner, box, own_box or box))
+        return made
+
+    def title(part: str, box: int) -> Block:
+        """The heading of a section of the text."""
+        tag = rng.choice(["h2", "h2", "h3", "h4"])
+        t = " ".join(rng.choice(sentences).split()[:rng.randint(1, 5)])
+        return Block(t, (*inside, (part, ""), (tag, "")), 0, tag, box, own_box or box)
+
     out: list[tuple[Block, int]] = []
+    left, part, box = 0, "", 0
 
     def put(kinds: list[str], base: tuple) -> None:
         for kind in kinds:
@@ -129,9 +233,26 @@ def rewritten(page: list[Block], labels: list[int], rng: random.Random) -> tuple
         own = ("h1" if k == 0 and rng.random() < 0.6 else rng.choice(["h2", "h3"])
                if len(b.text) < 60 and rng.random() < 0.3
                else rng.choice(["p", "p", "p", "p", "li", "blockquote", "td", "div", "pre"]))
-        out.append((Block(b.text, (*inside, (own, "")), b.linked, own), 1))
-    if rng.random() < 0.5:
-        put(["comments"], inside if rng.random() < 0.5 else body)
+        if k and not left and rng.random() < 0.2:
+            left, part, box = rng.randint(1, 4), rng.choice(["section", "section", "div"]), next(boxes)
+            if rng.random() < 0.6:
+                out.append((title(part, box), 1))
+        if left:                            # a section of the text without a name
+            left -= 1
+            out.append((Block(b.text, (*inside, (part, ""), (own, "")), b.linked, own, box, own_box or box), 1))
+        else:
+            out.append((Block(b.text, (*inside, (own, "")), b.linked, own, own_box, own_box), 1))
+        if rng.random() < 0.25:
+            out.extend((x, 1) for x in insert())
+    if rng.random() < 0.3:
+        out.extend((x, 1) for x in insert())
+    if rng.random() < 0.3:
+        part, box = rng.choice(["section", "section", "div"]), next(boxes)
+        out.extend((title(part, box), 1) for _ in range(rng.randint(0, 1)))
+        out.extend((Block(rng.choice(sentences), (*inside, (part, ""), ("p", "")), 0, "p", box, own_box or box), 1)
+                   for _ in range(rng.randint(1, 3)))
+    if rng.random() < 0.6:
+        put(["comments"], inside if rng.random() < 0.6 else body)
     put(rng.sample(kinds, rng.randint(1, 4)), body)
     if rng.random() < 0.8:
         put(["footer"], body)
@@ -238,14 +359,14 @@ def learn(pages: list[str]) -> Field:
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-        sample: int = SAMPLE) -> Field:
-    """Learn from at most `sample` marked pages, those of smallest hash. Pages of over LONGEST
+        sample: int = SAMPLE, longest: int = LONGEST) -> Field:
+    """Learn from at most `sample` marked pages, those of smallest hash. Pages of over `longest`
     characters are not learnt, so what the driver gets is bounded; all pages are decoded whole."""
     text = F.col(html_col).cast("string")
-    ids = [r[0] for r in pages.filter((F.length(text) <= LONGEST) & text.rlike("(?i)<(article|main)[ >]"))
+    ids = [r[0] for r in pages.filter((F.length(text) <= longest) & text.rlike("(?i)<(article|main)[ >]"))
            .select(F.col(id_col).alias("i")).filter("i IS NOT NULL").distinct()
            .orderBy(F.xxhash64(F.lit("crf"), "i"), "i").limit(sample).collect()]
-    chosen = (pages.filter(F.col(id_col).isin(ids) & (F.length(text) <= LONGEST))
+    chosen = (pages.filter(F.col(id_col).isin(ids) & (F.length(text) <= longest))
               .select(F.col(id_col).alias("i"), text.alias("h")).orderBy("i", "h").limit(sample).collect())
     return learn([r["h"] for r in chosen])
 
