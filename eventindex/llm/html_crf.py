@@ -36,7 +36,7 @@ from eventindex.llm.common import rows_of
 from eventindex.llm.html_blocks import Block, blocks
 
 SAMPLE = 96             # marked pages that are learnt
-FORMS = 4               # rewritten forms of each
+FORMS = 6               # rewritten forms of each, more where there are fewer pages than SAMPLE
 LONGEST = 60_000        # characters of a page that may be learnt, a parameter of `fit`
 BITS = 13
 PENALTY, STEPS = 0.05, 60
@@ -340,14 +340,13 @@ def fit_field(pages: list[tuple[list[list[int]], list[int]]]) -> Field:
 def learn(pages: list[str]) -> Field:
     """Fit on pages that mark their text, and on rewritten forms of them."""
     examples = []
-    for page in pages:
-        own = blocks(page)
-        labels = marked(own)
-        if labels is None:
-            continue
+    known = [(page, own, labels) for page in pages
+             if (labels := marked(own := blocks(page))) is not None]
+    forms = max(FORMS, -(-SAMPLE * FORMS // max(1, len(known))))
+    for page, own, labels in known:
         rng = random.Random(zlib.crc32(page.encode("utf-8", "replace")))
         examples.append((features(own), labels))
-        for _ in range(FORMS):
+        for _ in range(forms):
             form, y = rewritten(own, labels, rng)
             examples.append((features(form), y))
     if not examples:    # no page marks its text
