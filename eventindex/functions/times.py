@@ -64,7 +64,8 @@ def range_condition(start: str, end: str, ts: str = "event_ts", day: str = "even
     day, ts = F.col(day), F.col(ts)
 
     def instant(t: datetime) -> Column:
-        return F.to_utc_timestamp(F.lit(t.strftime(PY_FORMAT)).cast("timestamp"), ZONE)
+        # seconds, so the zone of the session has no say
+        return F.timestamp_seconds(F.lit(int(t.replace(tzinfo=ZoneInfo(ZONE)).timestamp())))
 
     out = F.lit(True)
     if start:

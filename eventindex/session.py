@@ -78,13 +78,3 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute once into the shared folder, so retries and re-reads see the same rows."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for per-row work on an input of few splits (a small table, or few large row
-    groups). An input with a split per core, as any large one has, is left as it is. Meant for
-    plain scans: asking for the number of splits plans the query but must not run it."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, *keys)

@@ -22,8 +22,6 @@ CSV_OPTIONS = {"nullValue": "\\N", "escape": '"', "multiLine": "true",
 
 SORT = ("event_date", "dataset_name", "event_key", "seq")
 
-ROWS_PER_TASK = 2_000_000
-
 
 def _csv_type(field: T.StructField) -> T.StructField:
     nested = isinstance(field.dataType, (T.MapType, T.ArrayType))
@@ -38,12 +36,10 @@ def write_leaf(leaf: DataFrame, path: str, layout: str = "parquet", attrs: bool
     position) splits a hot day, dataset or event over several tasks, and leaves every file with
     a narrow range of dataset names, so name filters skip row groups. Columns the layout lacks are NULL when
     read back; `attrs=False` leaves the attributes out."""
-    # an explicit number, as merging small partitions would leave few tasks to open many folders;
-    # it follows the count of rows, which is one more pass over the input
-    parts = max(int(leaf.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                -(-leaf.count() // ROWS_PER_TASK))
+    # no number of partitions: ranges start from spark.sql.shuffle.partitions, and small neighbours
+    # are merged by their measured bytes
     keys = [c for c in SORT if c in leaf.columns]
-    out = leaf.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    out = leaf.repartitionByRange(*keys).sortWithinPartitions(*keys)
     if layout == "csv":
         if "attrs" in out.columns:
             out = out.withColumn("attrs", attrs_to_text(F.col("attrs")))

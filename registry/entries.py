@@ -16,7 +16,7 @@ from eventindex.operators import (constants as CN, cuts as C, dictionaries as D,
                                   groups as G, ordinals as O, payload as P, select as S,
                                   shortlist as SH, spectra as SP, tree as TR, wide as W)
 from eventindex.plans import build as B
-from eventindex.session import configure, new_path, spread
+from eventindex.session import configure, new_path
 from eventindex.sources import (arrays as SA, chunks as CH, containers as SC, dictionaries as SD, event_source as ES, files as SF,
                                 index as SI, manifest as SM, records as SR)
 from registry import fixtures as fx
@@ -145,7 +145,7 @@ _ROW = "l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_extendedp
 def _(spark, sf):
     """Every line as a container of structs, an array of groups, a map group, and an array."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
-    li = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").withColumn(
+    li = table(spark, sf, "lineitem").withColumn(
         "l_linenumber", F.col("l_linenumber").cast("bigint"))
     nested = li.select(
         *keys,

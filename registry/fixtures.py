@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventindex.functions.times import day_dir, local_day, ns_to_ts
 from eventindex.operators.dictionaries import distinct_names
 from eventindex.plans.api import EventIndex
-from eventindex.session import new_path, spread
+from eventindex.session import new_path
 
 ROOT = "/data"
 
@@ -25,7 +25,7 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat_ws("_", ns, "user_id", "event_id")
     ts = ns_to_ts(ns)
     path = F.concat(F.lit(ROOT + "/"), day_dir(local_day(ts)), F.lit("/"), key, F.lit(".h5"))
-    return spread(table(spark, sf_dir, "events"), "event_id").withColumns({
+    return table(spark, sf_dir, "events").withColumns({
         "event_key": key, "event_ns": ns, "event_ts": ts, "n1": F.col("user_id"),
         "n2": F.col("event_id"), "event_date": local_day(ts), "path": path})
 
@@ -90,7 +90,7 @@ def leaf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").withColumn("event_key",
                                                         F.col("l_orderkey").cast("string"))
     # by part as well: one order may hold a large share of all lines
-    rows = spread(lines, "event_key", "l_partkey").join(orders, "l_orderkey")
+    rows = lines.join(orders, "l_orderkey")
     seq = f"""(CAST(l_linenumber AS bigint) * 4 + _i) * {1 << 58} + l_partkey * {1 << 24}
       + CAST(round(l_extendedprice * 100) AS bigint)"""
     return _leaf(rows, [Field("concat('/line', l_linenumber)", m, f"l_{m}", f"l_{m}")
@@ -175,7 +175,7 @@ def leaf_events(leaf: DataFrame) -> DataFrame:
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as 8 x 8 frames with metadata; label 0 lacks a height and is no image. The
     time axis has nine samples, the last one broken."""
-    return (spread(table(spark, sf_dir, "embeddings"), "vec_id")
+    return (table(spark, sf_dir, "embeddings")
             .withColumn("data", F.col("embedding").cast("array<double>"))
             .withColumn("side", F.sqrt(F.size("embedding")).cast("int"))
             .withColumn("metadata", F.map_from_arrays(

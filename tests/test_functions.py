@@ -206,3 +206,16 @@ def test_frames_of_real_size(spark):
         assert np.allclose(got[i].s, np.abs(np.fft.fft(p - p.mean()))[:254], atol=1e-9)
         full = np.abs(np.fft.fft(frame, axis=0)).max(axis=0)
         assert np.allclose(got[i].c, full)
+
+
+def test_range_does_not_depend_on_the_zone_of_the_session(spark):
+    rows = spark.sql("SELECT id, timestamp_seconds(1526119200 + 1800 * id) AS event_ts, DATE'2018-05-12' AS event_date "
+                     "FROM range(-3, 4)")     # 1526119200: 12:00 in Zurich
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            inside = rows.where(T.range_condition("2018-05-12 11:30:00", "2018-05-12 13:00:00"))
+            assert sorted(r["id"] for r in inside.collect()) == [-1, 0, 1, 2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
