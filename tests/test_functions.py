@@ -72,7 +72,7 @@ def test_days_of_may(spark):
     assert len(days.d) == 31 and days.none == []
 
 
-def test_range_text_must_be_complete():
+def test_range_text_must_be_complete(spark):
     with pytest.raises(ValueError):
         T.range_condition("2018-05-01", "2018-05-02")
 
