@@ -1,28 +1,150 @@
-"""Event files: listing, names, rejects."""
+"""Event files: listing, names, rejects.
+
+Folders are listed by tasks, level by level, and the files of a folder by the task that has it, so
+that the driver never holds a list of files.
+"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from fnmatch import fnmatchcase
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventindex.functions.names import event_fields, stem
+from eventindex.session import new_path, task_count
 
 CENTRAL = "/Central/"  # fixed value: folder of the dictionaries, never indexed
-
-
-def binary_files(spark: SparkSession, root: str | list[str], extension: str = "h5") -> DataFrame:
-    """All files below the root, or several; `content` is read only if it is selected."""
-    return (spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", f"*.{extension}")
-            .load(root)
-            .where(~F.col("path").contains(CENTRAL)))
+LISTED = "path string, modificationTime timestamp, length bigint"
+_ROWS, _BYTES = 1_000, 8 << 20
+
+
+def store_of(path: str):
+    """The file system of a path and the path in it; Hadoop writes local paths with one slash."""
+    from pyarrow import fs
+
+    local = re.match("(file:)?/+", path)
+    if local:
+        return fs.LocalFileSystem(), "/" + path[local.end():]
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+
+
+def _roots(spark: SparkSession, root: str | list[str]) -> list[tuple[str, bool]]:
+    """Qualified paths below which to list, and whether they are folders."""
+    found = []
+    for text in [root] if isinstance(root, str) else root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(text)
+        matches = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+        if not matches:
+            spark.read.format("binaryFile").load(text)  # raises Spark's own error
+        found += [(x.getPath().toString(), x.isDirectory()) for x in matches]
+    return found
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's readers leave out as well."""
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _entries(folder: str) -> Iterator[tuple]:
+    from pyarrow.fs import FileSelector
+
+    store, where = store_of(folder)
+    for x in store.get_file_info(FileSelector(where)):
+        if not _hidden(x.base_name):
+            yield f"{folder.rstrip('/')}/{x.base_name}", x
+
+
+def _folders(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """The folders and all folders below them; a job lists those of one level."""
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow.fs import FileType
+
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                below = [path for path, x in _entries(folder) if x.type == FileType.Directory]
+                if below:
+                    yield pa.RecordBatch.from_arrays([pa.array(below, pa.string())], ["path"])
+
+    levels, counts = [spark.createDataFrame([(path,) for path in roots], "path string")], [len(roots)]
+    while counts[-1]:
+        stored = new_path(spark, "folders")
+        dealt = levels[-1].repartition(task_count(spark, counts[-1]), "path")
+        dealt.mapInArrow(run, "path string").write.parquet(stored)
+        levels.append(spark.read.schema("path string").parquet(stored))
+        counts.append(levels[-1].count())
+    return reduce(DataFrame.unionAll, levels[:-1]).repartition(task_count(spark, sum(counts)), "path")
+
+
+def listed_files(spark: SparkSession, root: str | list[str], glob: str) -> DataFrame:
+    """Files below the root, or several, whose name fits: path, modificationTime, length."""
+    roots = _roots(spark, root)
+    try:
+        store_of(roots[0][0])
+    except (ValueError, OSError):  # a store that only Spark can open is listed by Spark
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", glob).load(root).select("path", "modificationTime", "length"))
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow.fs import FileType
+
+        kinds = [pa.string(), pa.timestamp("us", "UTC"), pa.int64()]
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                # times in milliseconds, as Hadoop has them
+                rows = [(path, None if x.mtime_ns is None else x.mtime_ns // 10**6 * 1000, x.size)
+                        for path, x in _entries(folder) if x.type == FileType.File and fnmatchcase(x.base_name, glob)]
+                for first in range(0, len(rows), 10 * _ROWS):
+                    columns = zip(*rows[first:first + 10 * _ROWS])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                                     ["path", "modificationTime", "length"])
+
+    folders, single = [p for p, is_folder in roots if is_folder], [p for p, is_folder in roots if not is_folder]
+    files = [_folders(spark, folders).mapInArrow(run, LISTED)] if folders else []
+    if single:
+        files.append(spark.read.format("binaryFile").option("pathGlobFilter", glob).load(single)
+                     .select("path", "modificationTime", "length"))
+    return reduce(DataFrame.unionAll, files)
 
 
 def scan_files(spark: SparkSession, root: str | list[str], extension: str = "h5") -> DataFrame:
-    return (binary_files(spark, root, extension)
+    """All files below the root, or several; none is opened."""
+    return (listed_files(spark, root, f"*.{extension}").where(~F.col("path").contains(CENTRAL))
             .select("path", "length", "modificationTime"))
 
 
+def binary_files(spark: SparkSession, root: str | list[str], extension: str = "h5") -> DataFrame:
+    """As scan_files, with the `content`. Files are dealt to tasks by name, and read one by one."""
+    files = scan_files(spark, root, extension).select("path", "modificationTime", "length")
+    try:
+        store_of(_roots(spark, root)[0][0])
+    except (ValueError, OSError):
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", f"*.{extension}").load(root).where(~F.col("path").contains(CENTRAL)))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            read, size, first = [], 0, 0
+            for at, path in enumerate(batch.column("path").to_pylist(), 1):
+                store, where = store_of(path)
+                with store.open_input_file(where) as file:
+                    read.append(file.read())
+                size += len(read[-1])
+                if size >= _BYTES or len(read) >= _ROWS or at == batch.num_rows:
+                    part = batch.slice(first, len(read))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(read, pa.binary())],
+                                                     [*part.schema.names, "content"])
+                    read, size, first = [], 0, at
+
+    return files.repartition(task_count(spark), "path").mapInArrow(run, f"{LISTED}, content binary")
+
+
 def named_events(files: DataFrame) -> DataFrame:
     """Files with the fields of their name; all NULL when the name is malformed."""
     return files.withColumns(event_fields(F.col("path")))
