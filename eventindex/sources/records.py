@@ -10,17 +10,76 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from eventindex.session import task_count
+from eventindex.sources.files import listed_files, store_of
+
 QUOTE = '"'
+_ROWS = 10_000
 
 
 def quoted_records(spark: SparkSession, path: str | list[str], glob: str = "*.csv") -> DataFrame:
     """One row per record: path, record (number in its file, from 0) and text. Empty lines between
     records are no records."""
-    lines = (spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", glob).text(path)
-             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("piece"),
-                     F.monotonically_increasing_id().alias("line"), "value"))
-    return number_records(lines)
+    return number_records(file_pieces(spark, listed_files(spark, path, glob)))
+
+
+def piece_lines(file, start: int, size: int) -> list[bytes]:
+    """The lines that begin in a piece of a file, the last one to its end."""
+    file.seek(max(0, start - 1))
+    data = file.read(size + (start > 0))
+    if start:
+        before = data.find(b"\n")
+        data = data[before + 1:] if before >= 0 else b""
+    elif data.startswith(b"\xef\xbb\xbf"):
+        data = data[3:]
+    if not data:
+        return []
+    parts = [data]
+    while not parts[-1].endswith(b"\n") and (more := file.read(1 << 16)):
+        end = more.find(b"\n") + 1
+        parts.append(more[:end] if end else more)
+    lines = b"".join(parts).split(b"\n")
+    return lines if lines[-1] else lines[:-1]
+
+
+def file_pieces(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Lines of files (path, length) for `number_records`. Pieces, of spark.sql.files.maxPartitionBytes,
+    are dealt to tasks by name, so that neither many small files nor a large one make a task of their own."""
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        held: list[list] = [[], [], [], []]
+
+        def out():
+            paths, pieces, numbers, texts = held
+            # as bytes, for a text need not be valid
+            return pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(pieces, pa.int64()), pa.array(numbers, pa.int64()),
+                 pa.array(texts, pa.binary()).view(pa.string())], ["path", "piece", "line", "value"])
+
+        for batch in batches:
+            for path, piece in zip(batch.column("path").to_pylist(), batch.column("piece").to_pylist()):
+                store, where = store_of(path)
+                with store.open_input_file(where) as file:
+                    lines = piece_lines(file, piece, size)
+                for first in range(0, len(lines), _ROWS):
+                    part = lines[first:first + _ROWS]
+                    for column, values in zip(held, ([path] * len(part), [piece] * len(part),
+                                                     range(first, first + len(part)), part)):
+                        column.extend(values)
+                    if len(held[0]) >= _ROWS:
+                        yield out()
+                        held = [[], [], [], []]
+        if held[0]:
+            yield out()
+
+    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(size).cast("bigint"))
+    pieces = files.select("path", F.explode(starts).alias("piece"))
+    return (pieces.repartition(task_count(spark), "path", "piece")
+            .mapInArrow(run, "path string, piece bigint, line bigint, value string"))
 
 
 def _quotes(text: Column) -> Column:
@@ -29,22 +88,28 @@ def _quotes(text: Column) -> Column:
 
 def number_records(lines: DataFrame) -> DataFrame:
     """Records of lines (path, piece, line, value): `line` orders the lines of a piece, `piece` the
-    pieces of a file. No task sees more than a piece, or the list of a file's pieces."""
-    counted = lines.withColumn("quotes", _quotes(F.col("value")))
-    pieces = counted.groupBy("path", "piece").agg(F.sum("quotes").alias("quotes"))
-    earlier = Window.partitionBy("path").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    states = pieces.select("path", "piece", (F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).alias("open"))
+    pieces of a file. No task sees more than a piece, or the list of a file's pieces.
+
+    Lines are numbered for both states in which a piece may begin, so they are dealt out once for the
+    counts of the pieces and for the numbers: both plans begin with the same shuffle. Spark reuses it, but
+    for lines that come from a Python task, which are computed twice."""
     inside = Window.partitionBy("path", "piece").orderBy("line")
     before = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    fresh = (F.col("open") + before) % 2 == 0
     # an empty line where a record could start is none
-    blank = fresh & (F.regexp_replace("value", "\r$", "") == "")
-    marked = (counted.join(states, ["path", "piece"]).withColumn("fresh", fresh & ~blank).withColumn("blank", blank)
-              .withColumn("starts", F.count_if("fresh").over(inside)))
-    totals = marked.groupBy("path", "piece").agg(F.count_if("fresh").alias("n"))
-    offsets = totals.select("path", "piece", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    numbered = (marked.where("NOT blank").join(offsets, ["path", "piece"])
-                .withColumn("record", F.col("offset") + F.col("starts") - 1))
+    empty = F.regexp_replace("value", "\r$", "") == ""
+    marked = (lines.withColumn("quotes", _quotes(F.col("value"))).withColumn("even", before % 2 == 0)
+              .withColumns({"empty": empty, "if_shut": F.count_if(F.col("even") & ~empty).over(inside),
+                            "if_open": F.count_if(~F.col("even") & ~empty).over(inside)}))
+    pieces = marked.groupBy("path", "piece").agg(
+        F.sum("quotes").alias("quotes"), F.max("if_shut").alias("n_shut"), F.max("if_open").alias("n_open"))
+    earlier = Window.partitionBy("path").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    shut = F.col("shut")
+    states = (pieces.withColumn("shut", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2 == 0)
+              .withColumn("offset", F.coalesce(F.sum(F.when(shut, F.col("n_shut")).otherwise(F.col("n_open")))
+                                               .over(earlier), F.lit(0)))
+              .select("path", "piece", "shut", "offset"))
+    numbered = (marked.join(states, ["path", "piece"]).where(~(F.col("empty") & (F.col("even") == shut)))
+                .withColumn("record", F.col("offset") + F.when(shut, F.col("if_shut")).otherwise(F.col("if_open")) - 1))
     whole = F.array_sort(F.collect_list(F.struct("piece", "line", "value")))
     text = F.array_join(F.transform(whole, lambda x: x["value"]), "\n")
     return (numbered.groupBy("path", "record").agg(text.alias("text"))
