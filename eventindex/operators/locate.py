@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from eventindex.session import task_count
 from eventindex.sources.containers import Decoder, decoded_rows
+from eventindex.sources.files import store_of
 
 
 def fetch_entries(rows: DataFrame, files: DataFrame, decoder: Decoder, files_per_task: int = 16) -> DataFrame:
@@ -24,13 +24,12 @@ def fetch_entries(rows: DataFrame, files: DataFrame, decoder: Decoder, files_per
     grouped = (rows.join(where, "event_key", "left")
                .groupBy("path", "event_key").agg(F.collect_list(F.struct(*names)).alias("_rows")))
     count = files.select("event_key").count()
-    dealt = grouped.repartition(max(1, -(-count // files_per_task)), "path", "event_key")
+    # a task streams its files: many need no more tasks
+    dealt = grouped.repartition(task_count(rows.sparkSession, -(-count // files_per_task)), "path", "event_key")
     schema = T.StructType([*rows.schema.fields, T.StructField("path", T.StringType()),
                            T.StructField("data", T.ArrayType(T.DoubleType())), T.StructField("missing", T.StringType())])
 
     def run(batches):
-        from pyarrow.fs import FileSystem
-
         for batch in batches:
             for path, held in zip(batch["path"], batch["_rows"]):
                 sought = {r["dataset_name"] for r in held if r["value"] is None}
@@ -39,8 +38,7 @@ def fetch_entries(rows: DataFrame, files: DataFrame, decoder: Decoder, files_per
                     problem = "no file"
                 elif sought:
                     try:
-                        # Hadoop writes local paths with one slash
-                        fs, name = FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                        fs, name = store_of(path)
                         with fs.open_input_file(name) as file:
                             content = file.read()
                         decoded = decoded_rows(decoder, path, content, True, sought.__contains__)
