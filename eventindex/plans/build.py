@@ -14,7 +14,7 @@ from eventindex.session import configure, materialise, new_path
 from eventindex.sources.containers import (Decoder, decode_files, decode_paths, leaf_rows, read_decoded,
                                            undecodable, write_decoded)
 from eventindex.sources.dictionaries import Dictionaries, read_dictionaries, write_dictionaries
-from eventindex.sources.files import binary_files, events_of, rejected_names
+from eventindex.sources.files import binary_files, events_of, rejected_names, scan_files
 from eventindex.sources.index import read_leaf, write_leaf
 from eventindex.sources.ledger import listing, read_ledger
 
@@ -32,9 +32,8 @@ def build_index(spark: SparkSession, root: str, out: str, decoder: Decoder,
     """
     configure(spark)
     found = materialise(listing(spark, root, extension))
-    files = binary_files(spark, root, extension)
-    write_decoded(decode_files(files, decoder, arrays), f"{out}/decoded")
-    rejected_names(files.select("path")).write.mode("overwrite").parquet(f"{out}/rejected_names")
+    write_decoded(decode_files(binary_files(spark, root, extension), decoder, arrays), f"{out}/decoded")
+    rejected_names(scan_files(spark, root, extension).select("path")).write.mode("overwrite").parquet(f"{out}/rejected_names")
     _write_days(spark, out, found, found.select("event_date").distinct(), attrs)
     _write_dictionaries(spark, out, merge_with)
 
@@ -109,21 +108,21 @@ def _replace_decoded(spark: SparkSession, out: str, fresh: DataFrame, touched: D
 def _write_days(spark: SparkSession, out: str, files: DataFrame, days: DataFrame, attrs: bool) -> None:
     """Write all tables of some days anew; `files` are the ledger rows of these days."""
     decoded = read_decoded(spark, f"{out}/decoded")
-    rows = decoded.join(days, "event_date", "left_semi")
+    # as many as the calendar has; as values they choose folders, and no row is shuffled by its day
+    wanted = [r[0] for r in days.where("event_date IS NOT NULL").collect()]
+    rows = decoded.where(F.col("event_date").isin(wanted))
     events = events_of(files.select("path"))
     _write_by_day(events, f"{out}/events")
     _write_by_day(rank_directory(events, "event_date"), f"{out}/ranks")
     write_leaf(leaf_rows(rows), f"{out}/leaf", attrs=attrs)
     undecodable(decoded).write.mode("overwrite").parquet(f"{out}/undecodable")
-    leaf = read_leaf(spark, f"{out}/leaf").join(days, "event_date", "left_semi")
     # days that hold nothing any more have no rows to overwrite them with
     held = {r[0] for r in files.select("event_date").distinct().collect()}
-    emptied = [r[0] for r in days.collect() if r[0] not in held]
+    emptied = [d for d in wanted if d not in held]
     _drop_folders(spark, [f"{out}/{t}/event_date={d}" for d in emptied
                           for t in ("events", "ranks", "leaf", "constants_state", "ledger")])
+    leaf = read_leaf(spark, f"{out}/leaf").where(F.col("event_date").isin(wanted))
     state = constant_state(leaf, by=("event_date",)).select(*STATE.names)
-    if emptied:
-        state = state.where(~F.col("event_date").isin(emptied))
     _write_by_day(state, f"{out}/constants_state")
     dataset_groups(read_leaf(spark, f"{out}/leaf")).write.mode("overwrite").parquet(f"{out}/groups")
     _write_by_day(files, f"{out}/ledger")

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventindex.functions.names import event_fields
 from eventindex.functions.values import attr_triple, shape_size, to_number, value_by_dtype
 from eventindex.schema import LEAF, PAYLOAD
+from eventindex.session import task_count
+from eventindex.sources.files import store_of
 
 
 class Entry(NamedTuple):
@@ -203,15 +205,12 @@ def decode_files(files: DataFrame, decoder: Decoder, arrays: bool = False) -> Da
 
 def decode_paths(files: DataFrame, decoder: Decoder, arrays: bool = False) -> DataFrame:
     """As decode_files, for a list of paths: every task opens its own files, so no other file is
-    read. Files are dealt out by size, whatever the order of the list."""
+    read. Files are dealt out by name, to a number of tasks that follows from their number and size."""
     def run(batches):
-        from pyarrow.fs import FileSystem
-
         rows: list[tuple] = []
         for batch in batches:
             for path in batch["path"]:
-                # Hadoop writes local paths with one slash
-                fs, where = FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                fs, where = store_of(path)
                 with fs.open_input_file(where) as file:
                     rows += decoded_rows(decoder, path, file.read(), arrays)
                 if rows and (arrays or len(rows) >= _ROWS_PER_FRAME):
@@ -221,8 +220,9 @@ def decode_paths(files: DataFrame, decoder: Decoder, arrays: bool = False) -> Da
             yield pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
 
     size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
-    tasks = max(1, -(-size[0] // _FILES_PER_TASK), -(-size[1] // _BYTES_PER_TASK))
-    decoded = files.select("path").repartition(tasks, "path").mapInPandas(run, _DECODED)
+    tasks = max(-(-size[0] // _FILES_PER_TASK), -(-size[1] // _BYTES_PER_TASK))
+    # a task streams its files: many small ones need no more tasks
+    decoded = files.select("path").repartition(task_count(files.sparkSession, tasks), "path").mapInPandas(run, _DECODED)
     return (decoded.withColumns(event_fields(F.col("path")))
             .withColumn("has_data", F.col("data").isNotNull()))
 
