@@ -9,6 +9,7 @@ row numbers of the chunks, which the scan evaluates; no other chunk is read, and
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,7 +64,7 @@ def pack(entry: Entry, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple]:
     has a single one without rows."""
     values = typed(entry.data)
     shape = [int(x) for x in entry.shape] or [len(values)]
-    width = max(1, int(np.prod(shape[1:], dtype=np.int64)))
+    width = max(1, math.prod(shape[1:]))
     if isinstance(values, np.ndarray):
         values = values.astype(values.dtype.newbyteorder("<"), copy=False)
         dtype, row_bytes = values.dtype.str, width * values.dtype.itemsize
@@ -149,7 +150,7 @@ def frame_rows(chunks: DataFrame, first: int = 0, last: int | None = None, colum
             out, size = [], 0
             for r in batch.to_pylist():
                 values = convert(unpack(r["dtype"], r["data"]), kind)
-                width = max(1, int(np.prod(r["shape"][1:], dtype=np.int64)))
+                width = max(1, math.prod(r["shape"][1:]))
                 lo, hi = max(first, r["first_row"]), r["last_row"] if end is None else min(end, r["last_row"])
                 left, right = columns or (0, width - 1)
                 for row in range(lo, hi + 1):

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventindex.functions.times import day_dir, local_day, ns_to_ts
 from eventindex.operators.dictionaries import distinct_names
 from eventindex.plans.api import EventIndex
-from eventindex.session import new_path
+from eventindex.session import new_path, task_count
+from eventindex.sources.files import store_of
 
 ROOT = "/data"
 
@@ -81,16 +82,19 @@ def _leaf(rows: DataFrame, fields: list[Field], order: str = "CAST(_i AS bigint)
 MEASURES = ["quantity", "extendedprice", "discount", "tax"]
 
 
-def leaf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def leaf_lines(spark: SparkSession, sf_dir: str, on: str = "l_orderkey") -> DataFrame:
     """Order = event, line number = group, four measures = datasets. An order may repeat a line
-    number, so "first match" matters; line, field, part and price make the walk order unique."""
+    number, so "first match" matters; line, field, part and price make the walk order unique.
+    Joined on "event_key", the rows come dealt out by event, as an aggregation per event needs them."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("timestamp")
         .alias("event_ts")).withColumn("event_date", local_day(F.col("event_ts")))
+    if on == "event_key":
+        orders = orders.withColumn("event_key", F.col("l_orderkey").cast("string")).drop("l_orderkey")
     lines = table(spark, sf_dir, "lineitem").withColumn("event_key",
                                                         F.col("l_orderkey").cast("string"))
     # by part as well: one order may hold a large share of all lines
-    rows = lines.join(orders, "l_orderkey")
+    rows = lines.join(orders, on)
     seq = f"""(CAST(l_linenumber AS bigint) * 4 + _i) * {1 << 58} + l_partkey * {1 << 24}
       + CAST(round(l_extendedprice * 100) AS bigint)"""
     return _leaf(rows, [Field("concat('/line', l_linenumber)", m, f"l_{m}", f"l_{m}")
@@ -219,17 +223,21 @@ def _write_tree(files: DataFrame) -> None:
     """One file per row of (path, content)."""
     def write(batches):
         import os
-        from pyarrow import fs
 
+        made = set()
         for batch in batches:
             for path, text in zip(batch["path"], batch["content"]):
-                store, where = fs.FileSystem.from_uri(path)
-                store.create_dir(os.path.dirname(where))
+                store, where = store_of(path)
+                folder = os.path.dirname(where)
+                if folder not in made:
+                    store.create_dir(folder)
+                    made.add(folder)
                 with store.open_output_stream(where) as out:
                     out.write(text.encode())
             yield batch[["path"]]
 
-    files.mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
+    dealt = files.repartition(task_count(files.sparkSession), "path")
+    dealt.mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
 
 
 def located_index(spark: SparkSession, sf_dir: str) -> EventIndex:
@@ -260,7 +268,8 @@ def typed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.to_json(F.struct(
         pixels.alias("pixels"), F.array("event_ns", F.col("event_ns") + 1, F.col("event_ns") + 2).alias("stamps"),
         F.array(F.col("event_type"), F.concat(F.lit('q"'), "user_id")).alias("words")))
-    return event_rows(spark, sf_dir).select("path", content.cast("binary").alias("content"))
+    files = event_rows(spark, sf_dir).select("path", content.cast("binary").alias("content"))
+    return files.repartition(task_count(spark), "path")
 
 
 def decode_typed(content: bytes, arrays: bool):
