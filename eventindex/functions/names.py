@@ -8,13 +8,14 @@ from eventindex.functions.times import local_day, ns_to_ts
 
 # The name and path formats of the indexed tree.
 EVENT_NAME = r"^(?:optimized_)?(\d{19})_(\d+)_(\d+)$"
-DAY_PATH = r"/(\d{4})/(\d{1,2})/(\d{1,2})/([^/]+?)(?:\.[^/]*)?$"
+DAY_PATH = r"/(\d{4})/(\d{1,2})/(\d{1,2})/(?:[^/]+\.zip!/)?([^/]+?)(?:\.[^/]*)?$"  # in an archive or not
 STEM = r"([^/]+?)(?:\.[^/]*)?$"
 
 
 def stem(path: Column) -> Column:
     """Last path part up to its first dot."""
-    return F.regexp_extract(path, STEM, 1)
+    # sought in that part only, for the pattern is tried from every character
+    return F.regexp_extract(F.substring_index(path, "/", -1), STEM, 1)
 
 
 def with_extension(path: Column, extension: str) -> Column:

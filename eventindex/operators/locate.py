@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from eventindex.session import task_count
 from eventindex.sources.containers import Decoder, decoded_rows
-from eventindex.sources.files import store_of
+from eventindex.sources.files import FileReader
 
 
 def fetch_entries(rows: DataFrame, files: DataFrame, decoder: Decoder, files_per_task: int = 16) -> DataFrame:
@@ -30,6 +30,7 @@ def fetch_entries(rows: DataFrame, files: DataFrame, decoder: Decoder, files_per
                            T.StructField("data", T.ArrayType(T.DoubleType())), T.StructField("missing", T.StringType())])
 
     def run(batches):
+        reader = FileReader()
         for batch in batches:
             for path, held in zip(batch["path"], batch["_rows"]):
                 sought = {r["dataset_name"] for r in held if r["value"] is None}
@@ -38,10 +39,7 @@ def fetch_entries(rows: DataFrame, files: DataFrame, decoder: Decoder, files_per
                     problem = "no file"
                 elif sought:
                     try:
-                        fs, name = store_of(path)
-                        with fs.open_input_file(name) as file:
-                            content = file.read()
-                        decoded = decoded_rows(decoder, path, content, True, sought.__contains__)
+                        decoded = decoded_rows(decoder, path, reader.read(path), True, sought.__contains__)
                         data = {d[2]: d[-2] for d in decoded if d[1] is None}
                         problem = next((d[1] for d in decoded if d[1] and d[2] is None), None)
                     except OSError as error:

@@ -21,7 +21,7 @@ from eventindex.functions.names import event_fields
 from eventindex.functions.values import attr_triple, shape_size, to_number, value_by_dtype
 from eventindex.schema import LEAF, PAYLOAD
 from eventindex.session import task_count
-from eventindex.sources.files import store_of
+from eventindex.sources.files import FileReader, opened_file
 
 
 class Entry(NamedTuple):
@@ -163,13 +163,15 @@ def decode_hdf5(content: bytes, arrays: bool, wanted: Wanted | None = None) -> I
         yield from walk(root, "/", [root])
 
 
-def decoded_rows(decoder: Decoder, path: str, content: bytes, arrays: bool,
+def decoded_rows(decoder: Decoder, path: str, content: bytes | None, arrays: bool,
                  wanted: Wanted | None = None) -> list[tuple]:
     """Rows of one file in walk order: its datasets, a row with `error` for each fault, and a single
-    one without a dataset if the file cannot be decoded at all."""
+    one without a dataset if the file cannot be decoded at all, or read from its archive (no content)."""
     nothing = [None] * len(Entry._fields)
     rows: list[tuple] = []
     try:
+        if content is None:
+            raise ValueError("broken in its archive")
         takes_names = len(inspect.signature(decoder).parameters) > 2
         found = decoder(content, arrays, wanted) if takes_names else decoder(content, arrays)
         for seq, entry in enumerate(found):
@@ -191,7 +193,7 @@ def decode_files(files: DataFrame, decoder: Decoder, arrays: bool = False) -> Da
         for batch in batches:
             rows: list[tuple] = []
             for path, content in zip(batch["path"], batch["content"]):
-                rows.extend(decoded_rows(decoder, path, bytes(content), arrays))
+                rows.extend(decoded_rows(decoder, path, None if content is None else bytes(content), arrays))
                 if arrays or len(rows) >= _ROWS_PER_FRAME:
                     yield pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
                     rows = []
@@ -205,14 +207,14 @@ def decode_files(files: DataFrame, decoder: Decoder, arrays: bool = False) -> Da
 
 def decode_paths(files: DataFrame, decoder: Decoder, arrays: bool = False) -> DataFrame:
     """As decode_files, for a list of paths: every task opens its own files, so no other file is
-    read. Files are dealt out by name, to a number of tasks that follows from their number and size."""
+    read. Files are dealt out by name, those of an archive together, to a number of tasks that follows
+    from their number and size."""
     def run(batches):
         rows: list[tuple] = []
+        reader = FileReader()
         for batch in batches:
             for path in batch["path"]:
-                fs, where = store_of(path)
-                with fs.open_input_file(where) as file:
-                    rows += decoded_rows(decoder, path, file.read(), arrays)
+                rows += decoded_rows(decoder, path, reader.read(path), arrays)
                 if rows and (arrays or len(rows) >= _ROWS_PER_FRAME):
                     yield pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
                     rows = []
@@ -222,7 +224,8 @@ def decode_paths(files: DataFrame, decoder: Decoder, arrays: bool = False) -> Da
     size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     tasks = max(-(-size[0] // _FILES_PER_TASK), -(-size[1] // _BYTES_PER_TASK))
     # a task streams its files: many small ones need no more tasks
-    decoded = files.select("path").repartition(task_count(files.sparkSession, tasks), "path").mapInPandas(run, _DECODED)
+    dealt = files.select("path").repartition(task_count(files.sparkSession, tasks), opened_file(F.col("path")))
+    decoded = dealt.sortWithinPartitions("path").mapInPandas(run, _DECODED)
     return (decoded.withColumns(event_fields(F.col("path")))
             .withColumn("has_data", F.col("data").isNotNull()))
 

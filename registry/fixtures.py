@@ -11,7 +11,7 @@ from eventindex.functions.times import day_dir, local_day, ns_to_ts
 from eventindex.operators.dictionaries import distinct_names
 from eventindex.plans.api import EventIndex
 from eventindex.session import new_path, task_count
-from eventindex.sources.files import store_of
+from eventindex.sources.files import ARCHIVE, store_of
 
 ROOT = "/data"
 
@@ -196,8 +196,8 @@ _trees: dict[tuple[str, str], str] = {}
 
 
 def container_tree(spark: SparkSession, sf_dir: str) -> str:
-    """One JSON container per event in year/month/day folders below the shared folder, plus one
-    per day in `Central` that the index must skip. Written once per session and data set."""
+    """One JSON container per event in archives in year/month/day folders below the shared folder, plus
+    one per day in `Central` that the index must skip. Written once per session and data set."""
     known = (spark.sparkContext.applicationId, sf_dir)
     if known in _trees:
         return _trees[known]
@@ -214,7 +214,8 @@ def container_tree(spark: SparkSession, sf_dir: str) -> str:
         F.concat(F.lit(root + "/Central/"), F.col("event_date"), F.lit(".h5")).alias("path"),
         "content")
 
-    _write_tree(rows.select("path", "content").unionByName(central))
+    _write_archives(rows.select("path", "content"))
+    _write_tree(central)
     _trees[known] = root
     return root
 
@@ -240,6 +241,46 @@ def _write_tree(files: DataFrame) -> None:
     dealt.mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
 
 
+ARCHIVE_FILES, ARCHIVE_BYTES = 1_000, 64 << 20  # about the most in one archive
+
+
+def _write_archives(files: DataFrame) -> None:
+    """One file per row of (path, content), in archives that lie in the file's folder and are named
+    after their first file. Of rows with one path one counts, as if it were written over the others."""
+    def write(batches):
+        import io
+        import os
+        import zipfile
+
+        folder, held, size = "", {}, 0
+
+        def put():
+            store, where = store_of(f"{folder}/{next(iter(held))}{ARCHIVE}")
+            store.create_dir(os.path.dirname(where))
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w") as archive:
+                for name, content in held.items():
+                    archive.writestr(name, content)
+            with store.open_output_stream(where) as out:
+                out.write(packed.getbuffer())
+
+        for batch in batches:
+            for path, text in zip(batch["path"], batch["content"]):
+                content, (above, name) = text.encode(), path.rsplit("/", 1)
+                full = len(held) >= ARCHIVE_FILES or size >= ARCHIVE_BYTES
+                if held and (above != folder or full and name not in held):
+                    put()
+                    held, size = {}, 0
+                folder, held[name], size = above, content, size + len(content)
+            yield batch[["path"]]
+        if held:
+            put()
+
+    # by ranges, so that a folder lies in few tasks and rows with one path in one
+    dealt = files.repartitionByRange(task_count(files.sparkSession), "path").sortWithinPartitions("path")
+    dealt.mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
+
+
 def located_index(spark: SparkSession, sf_dir: str) -> EventIndex:
     """The shots without a stored payload: images lie in one JSON container per event."""
     known = (spark.sparkContext.applicationId, sf_dir + "#images")
